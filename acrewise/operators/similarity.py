@@ -214,9 +214,7 @@ def similarity_edges(
         base += w_cat / total
     matcher = _Matcher(w_cat / total, cats)
     cat_col = F.col("sim_cat") if cats else F.array().cast("array<string>")
-    # rounding makes rows with equal raw features equal here as well
-    vector = F.transform(F.concat(*parts), lambda v: F.round(v, 12))
-    rows = settle(blocks.select(F.col(key).alias("id"), vector.alias("x"), cat_col.alias("c")))
+    rows = settle(blocks.select(F.col(key).alias("id"), F.concat(*parts).alias("x"), cat_col.alias("c")))
     want = k + 1
 
     ordered = Window.partitionBy("x", "c").orderBy("id")

@@ -1 +1,341 @@
-"""placeholder"""
+"""E, G and T rows: encoding, feature selection and models."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from acrewise.operators import encode as en
+from acrewise.operators import joins as jn
+from acrewise.operators import models as md
+from acrewise.operators import sampling as sm
+from acrewise.operators import selection as sl
+from acrewise.operators.text_features import tfidf
+from acrewise.functions.text import bedroom_label, furnishing_count
+from acrewise.queries.registry import flats, listings, over, query, r, rounded, table
+from acrewise.queries.statistics import _STOP as STOP_WORDS
+from acrewise.scale import shared_folder
+from acrewise.sources.sinks import load_model, save_model
+
+MODEL_FEATURES = ["bedrooms", "bathrooms", "sqft", "lot_size", "year_built", "location", "property_type", "latitude", "longitude"]
+
+
+def model_rows(spark, sf):
+    """Priced listings whose price follows size, so that the models have something to find."""
+    rows = listings(spark, sf).where("price IS NOT NULL AND sqft IS NOT NULL")
+    return rows.withColumn("price", F.col("sqft") * (90 + F.coalesce("bedrooms", F.lit(2.0)) * 12) + F.col("price") / 50)
+
+
+# encoding ------------------------------------------------------------------------------------------------
+
+
+@query(
+    "e01_target_encode",
+    over("listings", """, m AS (SELECT location, median(price) AS v FROM listings GROUP BY location)
+    SELECT listing_id, round(coalesce(m.v, (SELECT median(price) FROM listings)), 4) AS location_target_enc FROM listings l LEFT JOIN m ON l.location = m.location"""),
+)
+def e01(spark, sf):
+    rows = jn.target_encode(listings(spark, sf))
+    return rows.select("listing_id", r("location_target_enc", 4).alias("location_target_enc"))
+
+
+@query("e01_target_encode_out_of_fold")
+def e01_folds(spark, sf):
+    rows = jn.target_encode_out_of_fold(listings(spark, sf), "listing_id")
+    return rows.select("listing_id", "location_target_enc")
+
+
+@query(
+    "e02_standardize",
+    over("listings", """, f AS (SELECT listing_id, coalesce(sqft, (SELECT median(sqft) FROM listings)) AS s, coalesce(lot_size, (SELECT median(lot_size) FROM listings)) AS l FROM listings),
+    m AS (SELECT avg(s) AS ms, stddev_pop(s) AS ds, avg(l) AS ml, stddev_pop(l) AS dl FROM f) SELECT listing_id, round((s - ms) / ds, 6) AS sqft_std, round((l - ml) / dl, 6) AS lot_size_std, 0.0::DOUBLE AS flat_std FROM f, m"""),
+)
+def e02(spark, sf):
+    rows = listings(spark, sf).withColumn("flat", F.lit(3.0))
+    out = en.standardize(rows, ["sqft", "lot_size", "flat"])
+    return out.select("listing_id", r("sqft_std").alias("sqft_std"), r("lot_size_std").alias("lot_size_std"), "flat_std")
+
+
+@query("e03_one_hot")
+def e03(spark, sf):
+    rows = listings(spark, sf)
+    vectors = en.build_preprocessor([], ["location", "property_type"]).fit(rows).transform(rows)
+    return vectors.select("listing_id", F.col("features").cast("string").alias("features"))
+
+
+@query(
+    "e04_ordinal_encode",
+    over("listings", """, d AS (SELECT property_type, row_number() OVER (ORDER BY property_type) - 1 AS code FROM (SELECT DISTINCT property_type FROM listings WHERE property_type IS NOT NULL))
+    SELECT listing_id, CAST(coalesce(d.code, -1) AS INTEGER) AS code FROM listings l LEFT JOIN d ON l.property_type = d.property_type"""),
+)
+def e04(spark, sf):
+    return en.ordinal_encode(listings(spark, sf), "property_type", "code").select("listing_id", "code")
+
+
+@query(
+    "e05_imputers",
+    over("listings", """, m AS (SELECT median(sqft) AS s, median(year_built) AS y FROM listings), t AS (SELECT property_type AS v FROM listings WHERE property_type IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1),
+    u AS (SELECT state AS v FROM listings WHERE state IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)
+    SELECT listing_id, coalesce(sqft, s) AS sqft, coalesce(year_built, y) AS year_built, coalesce(property_type, t.v) AS property_type, coalesce(state, u.v) AS state FROM listings, m, t, u"""),
+)
+def e05(spark, sf):
+    rows = listings(spark, sf).select("listing_id", "sqft", "year_built", "property_type", "state")
+    return en.impute_table(rows, ["sqft", "year_built"], ["property_type", "state"])
+
+
+@query(
+    "e06_tfidf",
+    rf"""WITH t AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]{{2,}}')) AS term FROM documents),
+    tf AS (SELECT doc_id, term, count(*) AS tf FROM t WHERE term NOT IN ({', '.join(f"'{w}'" for w in STOP_WORDS)}) GROUP BY doc_id, term),
+    v AS (SELECT term, ln((1.0::DOUBLE + (SELECT count(*) FROM documents)) / (1 + count(*))) + 1 AS idf FROM tf GROUP BY term HAVING count(*) >= 2 ORDER BY sum(tf) DESC, term LIMIT 600),
+    w AS (SELECT doc_id, tf.term, tf * idf AS raw FROM tf JOIN v ON tf.term = v.term)
+    SELECT doc_id, term, round(raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)), 6) AS weight FROM w""",
+)
+def e06(spark, sf):
+    return rounded(tfidf(table(spark, sf, "documents"), "doc_id", "text", stop_words=STOP_WORDS), {"weight": 6})
+
+
+_FURNITURE = ["Fan", "AC", "Sofa", "Light", "Bed", "Geyser", "Wardrobe"]
+
+
+def _furnished(spark, sf):
+    counts = {f"n_{t.lower()}": furnishing_count("furnishDetails", t) for t in _FURNITURE}
+    return flats(spark, sf).select("property_id", *[c.alias(n) for n, c in counts.items()])
+
+
+@query("e07_elbow")
+def e07(spark, sf):
+    return en.elbow(_furnished(spark, sf), [f"n_{t.lower()}" for t in _FURNITURE], range(1, 11))
+
+
+@query("e08_furnishing_type")
+def e08(spark, sf):
+    names = [f"n_{t.lower()}" for t in _FURNITURE]
+    rows = en.cluster(_furnished(spark, sf), names, 3, "furnishing_type", n_init=3, scale=True, order_by="total")
+    return rows.select("property_id", "furnishing_type")
+
+
+@query("e09_geo_clusters")
+def e09(spark, sf):
+    return en.geo_clusters(listings(spark, sf), n_init=3).select("listing_id", "location_cluster")
+
+
+# selection -----------------------------------------------------------------------------------------------
+
+_G = ["sqft", "lot_size", "bedrooms", "bathrooms", "year_built"]
+_COMPLETE = " AND ".join(f"{c} IS NOT NULL" for c in [*_G, "price"])
+
+
+@query(
+    "g01_corr_with_log_price",
+    over("listings", f", t AS (SELECT *, ln(1 + price) AS y FROM listings WHERE {_COMPLETE}) " + " UNION ALL ".join(f"SELECT '{c}' AS feature, round(corr({c}, y), 6) AS corr FROM t" for c in _G)),
+)
+def g01(spark, sf):
+    rows = listings(spark, sf).withColumn("log_price", F.log1p("price"))
+    return rounded(sl.correlation_with_target(rows, "log_price", [*_G, "location"]), {"corr": 6})
+
+
+_P16 = [i / 16 for i in range(1, 16)]
+
+
+def _mi_sql(c: str) -> str:
+    return f"""SELECT '{c}' AS feature, round(sum(n / t * ln(n * t / (nx * ny))), 6) AS mi FROM (SELECT CAST(n AS DOUBLE) AS n, sum(n) OVER () AS t, sum(n) OVER (PARTITION BY bx) AS nx, sum(n) OVER (PARTITION BY by_) AS ny
+ FROM (SELECT len(list_filter(ex, lambda e: x >= e)) AS bx, len(list_filter(ey, lambda e: y >= e)) AS by_, count(*) AS n
+ FROM (SELECT coalesce({c}, m) AS x, y FROM p, (SELECT median({c}) AS m FROM listings)), (SELECT quantile_cont(coalesce({c}, (SELECT median({c}) FROM listings)), {_P16!r}) AS ex, quantile_cont(y, {_P16!r}) AS ey FROM p) GROUP BY 1, 2))"""
+
+
+@query(
+    "g02_mutual_information",
+    over("listings", ", p AS (SELECT *, ln(1 + price) AS y FROM listings WHERE price IS NOT NULL) " + " UNION ALL ".join(_mi_sql(c) for c in ["sqft", "lot_size", "bedrooms"])),
+)
+def g02(spark, sf):
+    rows = listings(spark, sf).withColumn("log_price", F.log1p("price"))
+    return rounded(sl.mutual_information(rows, "log_price", ["sqft", "lot_size", "bedrooms"]), {"mi": 6})
+
+
+_WIDER = "sqft * 1.1 + coalesce(bedrooms, 2) AS gross_area, lot_size / 43560 AS acres"
+_PAIR_COLS = ["sqft", "lot_size", "bedrooms", "gross_area", "acres"]
+
+
+@query(
+    "g03_redundant_pairs",
+    over(
+        "listings",
+        f", t AS (SELECT *, {_WIDER} FROM listings), y(c, v) AS ("
+        + " UNION ALL ".join(f"SELECT '{c}', abs(corr({c}, price)) FROM t" for c in _PAIR_COLS)
+        + "), p AS ("
+        + " UNION ALL ".join(
+            f"SELECT '{a}' AS a, '{b}' AS b, abs(corr({a}, {b})) AS corr FROM t" for i, a in enumerate(_PAIR_COLS) for b in _PAIR_COLS[i + 1 :]
+        )
+        + ") SELECT a, b, round(corr, 6) AS corr, CASE WHEN round((SELECT v FROM y WHERE c = b), 9) < round((SELECT v FROM y WHERE c = a), 9) THEN b ELSE a END AS dropped FROM p WHERE corr >= 0.92",
+    ),
+)
+def g03(spark, sf):
+    rows = listings(spark, sf).withColumns(
+        {"gross_area": F.col("sqft") * 1.1 + F.coalesce("bedrooms", F.lit(2.0)), "acres": F.col("lot_size") / 43560}
+    )
+    corr = {row["feature"]: round(row["corr"], 9) for row in sl.corr_with(rows, "price", _PAIR_COLS).collect()}
+    _, pairs = sl.drop_correlated(rows, _PAIR_COLS, corr)
+    return rounded(pairs, {"corr": 6})
+
+
+@query("g04_forest_importance")
+def g04(spark, sf):
+    rows = model_rows(spark, sf).withColumn("label", F.log1p("price"))
+    return sl.forest_importance(rows, "label", MODEL_FEATURES, trees=10, depth=6)
+
+
+@query("g05_select_features")
+def g05(spark, sf):
+    report = sl.select_features(model_rows(spark, sf), candidates=MODEL_FEATURES, mi_top_k=4, trees=5, depth=5)
+    rows = [(i, f, report["mutual_information"].get(f), report["random_forest_importance"].get(f)) for i, f in enumerate(report["selected_features"])]
+    return spark.createDataFrame(rows, "position int, feature string, mi double, importance double")
+
+
+@query("g06_feature_list")
+def g06(spark, sf):
+    rows = listings(spark, sf)
+    names = sl.feature_list(rows, ["sqft", "bedrooms", "nope", "location", "year_built"], sl.CANDIDATES)
+    return rows.agg(*[F.count(c).alias(c) for c in names])
+
+
+@query("g07_reduced_table", over("listings", "SELECT price, address, listing_url, description, latitude, longitude, data_tier, sqft, location FROM listings"))
+def g07(spark, sf):
+    return sl.reduced_table(listings(spark, sf), ["sqft", "location", "latitude"])
+
+
+# models --------------------------------------------------------------------------------------------------
+
+
+@query("t01_hash_split")
+def t01(spark, sf):
+    train, test = sm.hash_split(listings(spark, sf), "listing_id")
+    tagged = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+    return tagged.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.avg("price").alias("mean_price"))
+
+
+@query("t02_cross_validate")
+def t02(spark, sf):
+    rows = sm.hash_folds(md.labelled(model_rows(spark, sf)), "listing_id", 5)
+    stages = en.build_preprocessor(MODEL_FEATURES[:5], []).getStages()
+    mean, sd, rmse = md.cross_validate(md.Pipeline(stages=[*stages, md.linear()]), rows, 5)
+    return spark.createDataFrame([(mean, sd, rmse)], "r2_mean double, r2_std double, rmse_log double")
+
+
+@query("t03_grid_search")
+def t03(spark, sf):
+    models = {
+        "linear_regression": (md.linear(), {}),
+        "random_forest": (md.forest(5, 4), {"numTrees": [3, 6], "maxDepth": [3, 5]}),
+    }
+    _, _, metrics = md.train_models(model_rows(spark, sf), models=models, folds=2, features=MODEL_FEATURES)
+    return metrics
+
+
+@query("t04_linear_family")
+def t04(spark, sf):
+    rows = md.labelled(model_rows(spark, sf))
+    sd, n = rows.agg(F.stddev_pop("label"), F.count("label")).first()
+    models = {
+        "linear_regression": md.linear(),
+        "ridge": md.linear(2.0, label_sd=sd, rows=n, kind="ridge"),
+        "lasso": md.linear(0.01, kind="lasso"),
+        "elastic_net": md.linear(0.01, 0.5, label_sd=sd, kind="elastic_net"),
+    }
+    return md.compare_models(model_rows(spark, sf), folds=2, features=MODEL_FEATURES, models=models)[0]
+
+
+@query("t05_random_forest")
+def t05(spark, sf):
+    models = {"random_forest": md.forest(10, 6)}
+    return md.compare_models(model_rows(spark, sf), folds=2, features=MODEL_FEATURES, models=models)[0]
+
+
+@query("t06_boosting")
+def t06(spark, sf):
+    models = {"gradient_boosting": md.boosting(8, 4, 0.2)}
+    return md.compare_models(model_rows(spark, sf), folds=2, features=MODEL_FEATURES, models=models)[0]
+
+
+_PRED = "SELECT listing_id, property_type, bedrooms, price AS y_true, price * (0.85 + CAST(listing_id % 31 AS DOUBLE) / 100) AS y_pred FROM listings WHERE price IS NOT NULL"
+
+
+def _predicted(spark, sf):
+    guess = F.col("price") * (F.lit(0.85) + (F.col("listing_id") % 31).cast("double") / 100)
+    rows = listings(spark, sf).where(F.col("price").isNotNull())
+    return rows.select("listing_id", "property_type", "bedrooms", F.col("price").alias("y_true"), guess.alias("y_pred"))
+
+
+@query(
+    "t07_dollar_metrics",
+    over("listings", f""", p AS ({_PRED}) SELECT round(avg(abs(y_true - y_pred)), 4) AS mae, round(sqrt(avg((y_true - y_pred) * (y_true - y_pred))), 4) AS rmse,
+    round(1 - sum((y_true - y_pred) * (y_true - y_pred)) / (var_pop(y_true) * count(*)), 9) AS r2 FROM p"""),
+)
+def t07(spark, sf):
+    return rounded(md.dollar_metrics(_predicted(spark, sf)), {"mae": 4, "rmse": 4, "r2": 9})
+
+
+@query("t08_compare_models")
+def t08(spark, sf):
+    models = {"linear_regression": md.linear(), "lasso": md.linear(0.01, kind="lasso"), "random_forest": md.forest(5, 5)}
+    return md.compare_models(model_rows(spark, sf), folds=2, features=MODEL_FEATURES, models=models)[0]
+
+
+_ERR = f", p AS ({_PRED}), e AS (SELECT *, abs(y_true - y_pred) AS abs_err, abs(y_true - y_pred) / greatest(y_true, 1.0) AS ape FROM p)"
+
+
+@query("t09_overall_diagnostics", over("listings", _ERR + " SELECT round(avg(abs_err), 4) AS mae, round(avg(ape), 9) AS mape, round(quantile_cont(abs_err, 0.9), 4) AS p90_abs_err FROM e"))
+def t09(spark, sf):
+    return rounded(md.overall_diagnostics(_predicted(spark, sf)), {"mae": 4, "mape": 9, "p90_abs_err": 4})
+
+
+@query(
+    "t09_segment_diagnostics",
+    over("listings", _ERR + """ SELECT property_type, count(*) AS n, round(avg(abs_err), 4) AS mae, round(avg(ape), 9) AS mape, round(median(y_true), 4) AS median_price FROM e
+    WHERE property_type IS NOT NULL GROUP BY property_type ORDER BY n DESC, property_type LIMIT 12"""),
+)
+def t09_segments(spark, sf):
+    found = md.segment_diagnostics(_predicted(spark, sf), "property_type")
+    return rounded(found, {"mae": 4, "mape": 9, "median_price": 4})
+
+
+@query(
+    "t09_bedroom_diagnostics",
+    over("listings", _ERR + """ SELECT CASE WHEN bedrooms >= 5 THEN '5+' ELSE CAST(CAST(coalesce(bedrooms, -1) AS BIGINT) AS STRING) END AS bhk, count(*) AS n, round(avg(abs_err), 4) AS mae, round(avg(ape), 9) AS mape FROM e GROUP BY 1"""),
+)
+def t09_bedrooms(spark, sf):
+    rows = _predicted(spark, sf).withColumn("bhk", bedroom_label("bedrooms", "diagnostic"))
+    return rounded(md.segment_diagnostics(rows, "bhk", median_price=False), {"mae": 4, "mape": 9})
+
+
+@query(
+    "t10_derived_inputs",
+    over(
+        "listings",
+        """, l AS (SELECT *, CAST(listing_id % 8 AS INTEGER) AS location_cluster FROM listings), m AS (SELECT location, median(price) AS enc FROM l GROUP BY location),
+        c AS (SELECT location, location_cluster FROM (SELECT location, location_cluster, row_number() OVER (PARTITION BY location ORDER BY count(*) DESC, location_cluster) AS rn FROM l GROUP BY 1, 2) WHERE rn = 1)
+        SELECT s.listing_id, round(m.enc, 4) AS location_target_enc, c.location_cluster, 2026 - s.year_built AS property_age, round(s.bedrooms / greatest(s.bathrooms, 1.0), 6) AS bed_bath_ratio
+        FROM listings s LEFT JOIN m ON s.location = m.location LEFT JOIN c ON s.location = c.location WHERE s.bathrooms IS NOT NULL""",
+    ),
+)
+def t10(spark, sf):
+    known = listings(spark, sf).withColumn("location_cluster", (F.col("listing_id") % 8).cast("int"))
+    scenarios = listings(spark, sf).where("bathrooms IS NOT NULL").select("listing_id", "location", "year_built", "bedrooms", "bathrooms")
+    out = md.derived_inputs(scenarios, known)
+    return out.select("listing_id", r("location_target_enc", 4).alias("location_target_enc"), "location_cluster", "property_age", r("bed_bath_ratio").alias("bed_bath_ratio"))
+
+
+@query("t10_batch_score")
+def t10_score(spark, sf):
+    rows = md.labelled(model_rows(spark, sf))
+    stages = en.build_preprocessor(["sqft", "bedrooms", "year_built"], ["location"]).getStages()
+    model = md.Pipeline(stages=[*stages, md.linear()]).fit(rows)
+    return md.score(model, listings(spark, sf)).select("listing_id", "predicted_price")
+
+
+@query("s17_model_store")
+def s17(spark, sf):
+    rows = md.labelled(model_rows(spark, sf))
+    stages = en.build_preprocessor(["sqft", "bedrooms"], ["property_type"]).getStages()
+    path = shared_folder(spark, "model")
+    save_model(md.Pipeline(stages=[*stages, md.linear()]).fit(rows), path)
+    return md.score(load_model(path), rows).select("listing_id", "predicted_price")

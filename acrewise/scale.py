@@ -11,6 +11,7 @@ Rules shared by the whole package:
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -33,6 +34,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc.setCheckpointDir(configured)
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder name next to the checkpoints, where every executor can write."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Materialise ``df`` once in the shared checkpoint folder and cut its lineage."""
     ensure_checkpoint_dir(df.sparkSession)
