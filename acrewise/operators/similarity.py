@@ -14,7 +14,7 @@ from acrewise.functions.features import haversine_miles
 from acrewise.functions.text import street_of
 from acrewise.operators.filters import top_categories
 from acrewise.operators.text_features import has_text, tfidf
-from acrewise.scale import lookup_join, medians, settle
+from acrewise.scale import lookup_join, medians, stage
 
 NUMERIC_BLOCK = ["bedrooms", "bathrooms", "sqft", "price_per_sqft", "luxury_score", "amenity_count"]
 CATEGORY_BLOCK = ["location", "property_type"]
@@ -172,6 +172,11 @@ class _Matcher:
         return np.round(sims, _DIGITS)
 
 
+def _bit(j: int) -> Column:
+    """One of 64 bits for the row's j-th category."""
+    return F.pmod(F.xxhash64(F.get("c", F.lit(j))), F.lit(64)).cast("int")
+
+
 def _matrix(s: pd.Series) -> np.ndarray:
     return np.stack(s.to_numpy()).astype(np.float64) if len(s) else np.empty((0, 0))
 
@@ -214,13 +219,13 @@ def similarity_edges(
         base += w_cat / total
     matcher = _Matcher(w_cat / total, cats)
     cat_col = F.col("sim_cat") if cats else F.array().cast("array<string>")
-    rows = settle(blocks.select(F.col(key).alias("id"), F.concat(*parts).alias("x"), cat_col.alias("c")))
+    rows = stage(blocks.select(F.col(key).alias("id"), F.concat(*parts).alias("x"), cat_col.alias("c")))
     want = k + 1
 
     ordered = Window.partitionBy("x", "c").orderBy("id")
     reps = rows.withColumn("rn", F.row_number().over(ordered)).where(F.col("rn") <= want)
     reps = reps.groupBy("x", "c").agg(F.sort_array(F.collect_list("id")).alias("members"))
-    reps = settle(reps.withColumn("rep", F.col("members")[0]))
+    reps = stage(reps.withColumn("rep", F.col("members")[0]))
     n_cells = max(1, min(max_cells, reps.count() // rows_per_cell))
     sample = reps.orderBy(F.xxhash64("rep"), "rep").limit(max(n_cells, min(max_cells, 2 * want))).select("x", "c").toPandas()
     pivot_x, pivot_c = _matrix(sample["x"]), sample["c"]
@@ -238,9 +243,9 @@ def similarity_edges(
             )
 
     schema = "x array<double>, c array<string>, members array<bigint>, rep bigint, cell int, floor double, reach double"
-    placed = settle(reps.mapInPandas(assign, schema))
+    placed = stage(reps.mapInPandas(assign, schema))
     bits = [
-        F.bit_or(F.shiftleft(F.lit(1).cast("bigint"), F.pmod(F.xxhash64(F.get("c", F.lit(j))), F.lit(64)).cast("int"))).alias(f"m{j}")
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), _bit(j))).alias(f"m{j}")
         for j in range(cats)
     ]
     # at most `max_cells` rows
@@ -262,7 +267,7 @@ def similarity_edges(
 
     scored = placed.groupBy("cell", "part").applyInPandas(tighten, placed.schema)
     scored = scored.select("rep", "x", "c", "floor", *[
-        F.pmod(F.xxhash64(F.get("c", F.lit(j))), F.lit(64)).cast("int").alias(f"b{j}") for j in range(cats)
+        _bit(j).alias(f"b{j}") for j in range(cats)
     ])
     masks = [cells[f"m{j}"].to_numpy().astype(np.int64) for j in range(cats)]
 
@@ -280,7 +285,7 @@ def similarity_edges(
             )
 
     visiting = scored.mapInPandas(visits, "rep bigint, x array<double>, c array<string>, floor double, cells array<int>")
-    visiting = settle(visiting.withColumn("cell", F.explode("cells")).drop("cells"))
+    visiting = stage(visiting.withColumn("cell", F.explode("cells")).drop("cells"))
     load = {int(r["cell"]): int(math.ceil(r["count"] / chunk)) for r in visiting.groupBy("cell").count().collect()}
     groups_of = F.create_map(*[F.lit(x) for kv in load.items() for x in kv])
     n_groups = F.coalesce(F.try_element_at(groups_of, F.col("cell")), F.lit(0))

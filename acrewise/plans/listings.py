@@ -23,7 +23,7 @@ from acrewise.operators.encode import geo_clusters
 from acrewise.operators.filters import in_band, in_region, require
 from acrewise.operators.impute import fill_medians
 from acrewise.operators.outliers import remove_outliers_iqr
-from acrewise.scale import lookup_join, medians, quantiles
+from acrewise.scale import lookup_join, medians, quantiles, stage
 from acrewise.schema import LISTING_COLUMNS, coerce_numerics, ensure_columns, fill_defaults
 from acrewise.sources.augment import bootstrap_augment
 from acrewise.sources.folder import ingest_folder
@@ -70,11 +70,11 @@ def collect(
 def preprocess(df: DataFrame, order: tuple[Column | str, ...] = ("listing_id",)) -> DataFrame:
     """Clean listings: types and defaults, core columns, medians, price band, IQR fences, region, dedupe.
 
-    The steps depend on their order. Medians and fences are driver scalars of one-row aggregates; ``order``
-    decides which duplicate is kept.
+    The steps depend on their order. Typed rows are staged once, medians and fences are driver scalars of
+    one-row aggregates over the columns they need; ``order`` decides which duplicate is kept.
     """
     rows = resolve_property_type(require(fill_defaults(coerce_numerics(ensure_columns(df)))))
-    rows = fill_medians(rows).where(in_band("price", 30_000, 20_000_000))
+    rows = fill_medians(stage(rows, "listings")).where(in_band("price", 30_000, 20_000_000))
     rows = remove_outliers_iqr(rows, IQR_COLUMNS).where(in_region())
     return dedupe_listings(rows, ("address", "price", "sqft"), order)
 
@@ -85,7 +85,7 @@ def engineer_features(df: DataFrame, as_of_year: int, clusters: bool = True, n_i
     All global medians come from one aggregate and all per-location medians from another. Filling a column's
     gaps with its median leaves the median unchanged, so one value serves both the fill and the score.
     """
-    rows = df.withColumns({out: ratio(num, den) for out, (num, den) in RATIOS.items()})
+    rows = stage(df, "clean").withColumns({out: ratio(num, den) for out, (num, den) in RATIOS.items()})
     mid = medians(rows, [*RATIOS, "price", "sqft", "latitude", "longitude"])
 
     def or_median(c: str) -> Column:

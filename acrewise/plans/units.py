@@ -29,6 +29,7 @@ from acrewise.operators.impute import fix_small_built_up, impute_built_up, imput
 from acrewise.operators.joins import fill_from
 from acrewise.operators.outliers import repair_rate_outliers
 from acrewise.operators.sampling import concat_tables
+from acrewise.scale import stage
 
 
 def _clean_units(df: DataFrame, kind: str, missing_society: str | None) -> DataFrame:
@@ -65,7 +66,7 @@ def clean_houses(df: DataFrame) -> DataFrame:
 
 def with_sectors(df: DataFrame, min_rows: int = 3) -> DataFrame:
     """Sector from the title, spellings unified, sectors with fewer than ``min_rows`` rows dropped."""
-    rows = df.withColumn("sector", alias_cascade(sector_of("property_name"), SECTOR_ALIASES))
+    rows = stage(df.withColumn("sector", alias_cascade(sector_of("property_name"), SECTOR_ALIASES)), "sectors")
     rows = min_frequency(rows, "sector", min_rows)
     return rows.withColumn("sector", alias_cascade("sector", SECTOR_ALIASES_AFTER)).drop("property_name")
 
@@ -89,8 +90,11 @@ def furnishing_type(df: DataFrame, terms: list[str], n_init: int = 10) -> DataFr
 
 
 def treat_units(df: DataFrame) -> DataFrame:
-    """Outlier repair and caps, area and possession-age imputation."""
-    rows = cap_domains(repair_rate_outliers(df.distinct()))
+    """Outlier repair and caps, area and possession-age imputation.
+
+    The parsed rows are staged once: the fences and the three mode passes read columns, not texts.
+    """
+    rows = cap_domains(repair_rate_outliers(stage(df.distinct(), "units")))
     rows = rows.withColumn("price_per_sqft", rate_from_area("price", "area"))
     rows = fix_small_built_up(impute_built_up(rows))
     rows = rows.drop("areaWithType", "super_built_up_area", "carpet_area", "facing", "area")

@@ -46,6 +46,17 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write a row-sized intermediate table once as parquet in the shared folder and read it back.
+
+    Used where several passes follow: each of them then reads only the columns it needs, with filters pushed
+    into the scan, instead of repeating the parsing and joins before it.
+    """
+    path = shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     """True when ``df`` has at most ``max_rows`` rows; reads no more than ``max_rows + 1`` of them."""
     return df.limit(max_rows + 1).count() <= max_rows
