@@ -94,7 +94,7 @@ def luxury_score(df: DataFrame, out: str = "luxury_score") -> DataFrame:
         + F.try_divide(F.col("price_per_sqft"), F.lit(mid["price_per_sqft"]).cast("double"))
         + F.col("amenity_count") / len(AMENITY_PATTERNS)
     ) / 3
-    return df.withColumn(out, F.bround(raw * 10, 2))
+    return df.withColumn(out, round_even(raw * 10, 2))
 
 
 def luxury_x_sqft(score: Column | str = "luxury_score", sqft: Column | str = "sqft") -> Column:
@@ -115,7 +115,9 @@ def type_rarity(df: DataFrame, key: str = "property_type", out: str = "property_
 
 
 def round_even(c: Column, digits: int = 0) -> Column:
-    return F.bround(c, digits)
+    """Array-library rounding: scale, round half to even, scale back."""
+    scale = float(10**digits)
+    return F.rint(c * scale) / scale
 
 
 def area_from_rate(price_crore: Column | str, rate: Column | str) -> Column:

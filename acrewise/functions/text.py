@@ -33,6 +33,22 @@ def _strip(c: Column) -> Column:
     return F.regexp_replace(c, r"^\s+|\s+$", "")
 
 
+def round_exact(c: Column, digits: int) -> Column:
+    """Round the stored binary value to ``digits`` decimals, true ties to even.
+
+    Scaling can turn 35.499999... into 35.5; the exact error of the product decides those cases.
+    """
+    scale = float(10**digits)
+    product = c * scale
+    # Veltkamp split: the high part times the scale is exact
+    high = c * 134217729.0 - (c * 134217729.0 - c)
+    error = (high * scale - product) + (c - high) * scale
+    down = F.floor(product).cast("double")
+    tie = (product - down) == 0.5
+    nearest = F.when(tie & (error < 0), down).when(tie & (error > 0), down + 1).otherwise(F.rint(product))
+    return nearest / scale
+
+
 def digits_to_number(c: Column | str) -> Column:
     """Keep digits and dots, then read as a number; anything else is NULL."""
     return F.nullif(F.regexp_replace(_col(c).cast("string"), r"[^0-9.]", ""), F.lit("")).try_cast("double")
@@ -61,7 +77,7 @@ def price_to_crore(c: Column | str) -> Column:
         .when(text.contains("lac") | text.contains("lakh"), number / 100)
         .otherwise(text.try_cast("double"))
     )
-    return F.bround(value, 2)
+    return round_exact(value, 2)
 
 
 def parse_rate(c: Column | str) -> Column:

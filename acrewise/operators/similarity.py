@@ -3,18 +3,15 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acrewise.functions.features import haversine_miles
 from acrewise.functions.text import street_of
 from acrewise.operators.filters import top_categories
 from acrewise.operators.text_features import has_text, tfidf
-from acrewise.scale import lookup_join, medians, stage
+from acrewise.scale import medians
 
 NUMERIC_BLOCK = ["bedrooms", "bathrooms", "sqft", "price_per_sqft", "luxury_score", "amenity_count"]
 CATEGORY_BLOCK = ["location", "property_type"]
@@ -58,7 +55,7 @@ def similarity_blocks(df: DataFrame) -> DataFrame:
     )
 
 
-def _norm(c: str, size: int) -> Column:
+def block_norm(c: str, size: int) -> Column:
     total = F.lit(0.0)
     for i in range(size):
         total = total + F.get(c, F.lit(i)) * F.get(c, F.lit(i))
@@ -71,7 +68,7 @@ def _cosine(c: str, anchor: list[float]) -> Column:
     for i, v in enumerate(anchor):
         dot = dot + F.get(c, F.lit(i)) * F.lit(float(v))
     length = math.sqrt(sum(v * v for v in anchor))
-    return F.coalesce(F.try_divide(dot, _norm(c, len(anchor)) * F.lit(length)), F.lit(0.0))
+    return F.coalesce(F.try_divide(dot, block_norm(c, len(anchor)) * F.lit(length)), F.lit(0.0))
 
 
 def blended_score(blocks: DataFrame, anchor, weights: tuple[float, ...], text: Column | None = None) -> Column:
@@ -134,206 +131,6 @@ def similar_listings(df: DataFrame, anchor_id, k: int = 5, key: str = "listing_i
     return scored.orderBy(F.desc(F.round("similarity", 9)), key).limit(k).select(key, *columns, "similarity")
 
 
-# all-pairs edges -----------------------------------------------------------------------------------------
-
-_DIGITS = 9
-_SLACK = 1e-7
-
-
-def _unit(c: str, size: int, weight: float) -> Column:
-    """The block scaled to length sqrt(weight); a zero block stays zero."""
-    norm = _norm(c, size)
-    return F.when(norm > 0, F.transform(c, lambda v: v / norm * F.lit(math.sqrt(weight)))).otherwise(
-        F.array_repeat(F.lit(0.0), size)
-    )
-
-
-class _Matcher:
-    """Pairwise similarity of encoded rows: dot product plus the weighted share of equal categories."""
-
-    def __init__(self, cat_weight: float, cats: int):
-        self.cat_weight, self.cats = cat_weight, cats
-
-    def codes(self, *sides: pd.Series) -> list[np.ndarray]:
-        lists = [np.array(s.tolist(), dtype=object).reshape(len(s), self.cats) for s in sides]
-        out = [np.empty(a.shape, dtype=np.int64) for a in lists]
-        for j in range(self.cats):
-            flat, _ = pd.factorize(np.concatenate([a[:, j] for a in lists]))
-            start = 0
-            for a, o in zip(lists, out, strict=True):
-                o[:, j] = flat[start : start + len(a)]
-                start += len(a)
-        return out
-
-    def scores(self, x: np.ndarray, cx: np.ndarray, y: np.ndarray, cy: np.ndarray) -> np.ndarray:
-        sims = x @ y.T
-        for j in range(self.cats):
-            sims += (self.cat_weight / self.cats) * (cx[:, j][:, None] == cy[:, j][None, :])
-        return np.round(sims, _DIGITS)
-
-
-def _bit(j: int) -> Column:
-    """One of 64 bits for the row's j-th category."""
-    return F.pmod(F.xxhash64(F.get("c", F.lit(j))), F.lit(64)).cast("int")
-
-
-def _matrix(s: pd.Series) -> np.ndarray:
-    return np.stack(s.to_numpy()).astype(np.float64) if len(s) else np.empty((0, 0))
-
-
-def similarity_edges(
-    df: DataFrame,
-    k: int,
-    key: str = "listing_id",
-    weights: tuple[float, ...] = WEIGHTS,
-    rows_per_cell: int = 1000,
-    max_cells: int = 2048,
-    chunk: int = 2048,
-) -> DataFrame:
-    """The ``k`` most similar other rows of every row (src_id, dst_id, similarity, rank), over the whole table.
-
-    Exact, without forming all pairs (a k-nearest-neighbour join over pivot cells):
-
-    1. rows with equal features share one representative that carries their ``k + 1`` smallest ids;
-    2. representatives go to the cell of their most similar pivot; a cell is summed up by its pivot, radius
-       and category bits, which bound the similarity anything in it can reach;
-    3. similarities to the pivots and to the own chunk give each row a score it must beat;
-    4. a row visits only the cells whose bound reaches that score; cells and their visitors are cut into
-       chunks, so no task sees more than ``chunk`` rows of either side, and each task keeps ``k + 1`` rows;
-    5. the lists of a row are merged and handed to all rows with the same features.
-    """
-    w_num, w_cat, w_geo, _ = weights
-    total = w_num + w_cat + w_geo
-    blocks = similarity_blocks(df)
-    sizes = blocks.select(F.size("sim_num"), F.size("sim_cat"), F.size("sim_geo")).first()
-    if sizes is None:
-        return df.sparkSession.createDataFrame([], "src_id bigint, dst_id bigint, similarity double, rank int")
-    n_num, n_cat, n_geo = sizes
-    parts, base = [_unit("sim_num", n_num, w_num / total)], 0.0
-    if n_geo and n_geo > 0:
-        parts.append(_unit("sim_geo", n_geo, w_geo / total))
-    else:
-        base += w_geo / total
-    cats = n_cat if n_cat and n_cat > 0 else 0
-    if not cats:
-        base += w_cat / total
-    matcher = _Matcher(w_cat / total, cats)
-    cat_col = F.col("sim_cat") if cats else F.array().cast("array<string>")
-    rows = stage(blocks.select(F.col(key).alias("id"), F.concat(*parts).alias("x"), cat_col.alias("c")))
-    want = k + 1
-
-    ordered = Window.partitionBy("x", "c").orderBy("id")
-    reps = rows.withColumn("rn", F.row_number().over(ordered)).where(F.col("rn") <= want)
-    reps = reps.groupBy("x", "c").agg(F.sort_array(F.collect_list("id")).alias("members"))
-    reps = stage(reps.withColumn("rep", F.col("members")[0]))
-    n_cells = max(1, min(max_cells, reps.count() // rows_per_cell))
-    sample = reps.orderBy(F.xxhash64("rep"), "rep").limit(max(n_cells, min(max_cells, 2 * want))).select("x", "c").toPandas()
-    pivot_x, pivot_c = _matrix(sample["x"]), sample["c"]
-
-    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            x = _matrix(batch["x"])
-            cx, cp = matcher.codes(batch["c"], pivot_c)
-            sims = matcher.scores(x, cx, pivot_x, cp)
-            # pivots are rows of the table, so the score of the k+1-th best pivot is already reachable
-            floor = np.partition(sims, -want, axis=1)[:, -want] if sims.shape[1] >= want else np.full(len(x), -2.0)
-            cell = sims[:, :n_cells].argmax(axis=1)
-            yield batch.assign(
-                cell=cell.astype("int32"), floor=floor, reach=np.linalg.norm(x - pivot_x[cell], axis=1)
-            )
-
-    schema = "x array<double>, c array<string>, members array<bigint>, rep bigint, cell int, floor double, reach double"
-    placed = stage(reps.mapInPandas(assign, schema))
-    bits = [
-        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), _bit(j))).alias(f"m{j}")
-        for j in range(cats)
-    ]
-    # at most `max_cells` rows
-    cells = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("reach").alias("radius"), *bits).toPandas()
-    cell_ids = cells["cell"].to_numpy()
-    centers, radii = pivot_x[cell_ids], cells["radius"].to_numpy()
-    chunks = {int(c): int(math.ceil(n / chunk)) for c, n in zip(cells["cell"], cells["n"], strict=True)}
-    chunk_of = F.create_map(*[F.lit(x) for kv in chunks.items() for x in kv])
-    n_chunks = F.try_element_at(chunk_of, F.col("cell"))
-    placed = placed.withColumn("part", F.pmod(F.xxhash64("rep"), n_chunks).cast("int"))
-
-    def tighten(batch: pd.DataFrame) -> pd.DataFrame:
-        x = _matrix(batch["x"])
-        (cx,) = matcher.codes(batch["c"])
-        sims = matcher.scores(x, cx, x, cx)
-        if sims.shape[1] >= want:
-            batch["floor"] = np.maximum(batch["floor"], np.partition(sims, -want, axis=1)[:, -want])
-        return batch
-
-    scored = placed.groupBy("cell", "part").applyInPandas(tighten, placed.schema)
-    scored = scored.select("rep", "x", "c", "floor", *[
-        _bit(j).alias(f"b{j}") for j in range(cats)
-    ])
-    masks = [cells[f"m{j}"].to_numpy().astype(np.int64) for j in range(cats)]
-
-    def visits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            x = _matrix(batch["x"])
-            bound = x @ centers.T + np.linalg.norm(x, axis=1)[:, None] * radii[None, :]
-            for j, mask in enumerate(masks):
-                bit = np.left_shift(np.int64(1), batch[f"b{j}"].to_numpy().astype(np.int64))
-                bound += (matcher.cat_weight / cats) * ((mask[None, :] & bit[:, None]) != 0)
-            reachable = bound >= batch["floor"].to_numpy()[:, None] - _SLACK
-            yield pd.DataFrame(
-                {"rep": batch["rep"], "x": batch["x"], "c": batch["c"], "floor": batch["floor"],
-                 "cells": [cell_ids[r].tolist() for r in reachable]}
-            )
-
-    visiting = scored.mapInPandas(visits, "rep bigint, x array<double>, c array<string>, floor double, cells array<int>")
-    visiting = stage(visiting.withColumn("cell", F.explode("cells")).drop("cells"))
-    load = {int(r["cell"]): int(math.ceil(r["count"] / chunk)) for r in visiting.groupBy("cell").count().collect()}
-    groups_of = F.create_map(*[F.lit(x) for kv in load.items() for x in kv])
-    n_groups = F.coalesce(F.try_element_at(groups_of, F.col("cell")), F.lit(0))
-    left = visiting.withColumns(
-        {"q": F.pmod(F.xxhash64("rep", F.lit(7)), n_groups).cast("int"), "part": F.explode(F.sequence(F.lit(0), n_chunks - 1))}
-    )
-    right = placed.where(n_groups > 0).select(
-        "cell", "part", "x", "c", "rep", "members", F.explode(F.sequence(F.lit(0), n_groups - 1)).alias("q")
-    )
-
-    def best(queries: pd.DataFrame, data: pd.DataFrame) -> pd.DataFrame:
-        if not len(queries) or not len(data):
-            return pd.DataFrame({"rep": [], "dst": [], "similarity": []})
-        data = data.sort_values("rep", kind="stable")
-        cx, cy = matcher.codes(queries["c"], data["c"])
-        sims = matcher.scores(_matrix(queries["x"]), cx, _matrix(data["x"]), cy)
-        take = min(want, sims.shape[1])
-        # stable sort: equal scores stay in id order
-        order = np.argsort(-sims, axis=1, kind="stable")[:, :take]
-        top = np.take_along_axis(sims, order, axis=1)
-        ok = (top >= queries["floor"].to_numpy()[:, None] - _SLACK).ravel()
-        members = data["members"].to_numpy()
-        return pd.DataFrame(
-            {"rep": np.repeat(queries["rep"].to_numpy(), take)[ok], "dst": members[order.ravel()[ok]],
-             "similarity": top.ravel()[ok]}
-        )
-
-    keys = ["cell", "part", "q"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
-        best, "rep bigint, dst array<bigint>, similarity double"
-    )
-    by_score = Window.partitionBy("rep").orderBy(F.desc("similarity"), "dst_id")
-    flat = found.select("rep", F.explode("dst").alias("dst_id"), "similarity")
-    flat = flat.withColumn("rn", F.row_number().over(by_score)).where(F.col("rn") <= want)
-    entry = F.struct("rn", "dst_id", "similarity")
-    lists = flat.groupBy("rep").agg(F.sort_array(F.collect_list(entry)).alias("near"))
-    keyed = reps.select("x", "c", "rep").join(lists, "rep").select("x", "c", "near")
-    spread = lookup_join(rows, keyed, ["x", "c"], how="inner")
-    others = F.slice(F.filter("near", lambda e: e["dst_id"] != F.col("id")), 1, k)
-    edges = spread.select(F.col("id").alias("src_id"), F.posexplode(others).alias("pos", "e"))
-    return edges.select(
-        "src_id",
-        F.col("e.dst_id").alias("dst_id"),
-        F.round(F.col("e.similarity") + F.lit(base), _DIGITS).alias("similarity"),
-        (F.col("pos") + 1).alias("rank"),
-    )
-
-
 # nearby --------------------------------------------------------------------------------------------------
 
 

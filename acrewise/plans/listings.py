@@ -14,6 +14,7 @@ from acrewise.functions.features import (
     luxury_x_sqft,
     property_age,
     ratio,
+    round_even,
     type_rarity,
     with_amenities,
 )
@@ -116,7 +117,7 @@ def engineer_features(df: DataFrame, as_of_year: int, clusters: bool = True, n_i
         + F.try_divide(F.col("price_per_sqft"), F.lit(mid["price_per_sqft"]).cast("double"))
         + F.col("amenity_count") / len(AMENITY_PATTERNS)
     )
-    rows = rows.withColumn("luxury_score", F.bround(parts / 3 * 10, 2))
+    rows = rows.withColumn("luxury_score", round_even(parts / 3 * 10, 2))
     rows = rows.withColumn("luxury_x_sqft", luxury_x_sqft())
     rows = type_rarity(luxury_segment(rows))
     rows = geo_clusters(rows, n_init=n_init) if clusters else rows

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from acrewise.functions.features import AMENITY_PATTERNS
 from acrewise.functions.unit_values import AMENITY_WEIGHTS, SECTOR_ALIASES, SECTOR_ALIASES_AFTER
 from acrewise.operators import profile as pf
 from acrewise.plans import listings as lp
 from acrewise.plans import units as up
-from acrewise.queries.registry import flats, listings, over, query, rounded, view
+from acrewise.queries.registry import flats, listings, over, query, r, rounded, view
 from acrewise.queries.scalars import (
     _AGE,
     _BUILT,
@@ -201,4 +199,4 @@ UNITS = (
 def c04(spark, sf):
     rows = up.clean_units(flats(spark, sf), view(spark, sf, "houses"), view(spark, sf, "facilities"))
     cols = ["property_id", "property_type", "society", "sector", "price", "price_per_sqft", "bedRoom", "floorNum", "agePossession", "luxury_score"]
-    return rows.select(*cols, F.round("built_up_area", 4).alias("built_up_area"))
+    return rows.select(*cols, r("built_up_area", 4).alias("built_up_area"))

@@ -40,12 +40,14 @@ def flats(spark: SparkSession, sf: str) -> DataFrame:
     return view(spark, sf, "flats")
 
 
-def rounded(df: DataFrame, cols: dict[str, int]) -> DataFrame:
-    return df.withColumns({c: F.round(c, n) for c, n in cols.items()})
+def r(c: Column | str, digits: int = 6) -> Column:
+    """Round half away from zero by scaling, the way the oracle's ``round`` does."""
+    value, scale = F.col(c) if isinstance(c, str) else c, float(10**digits)
+    return F.signum(value) * F.floor(F.abs(value) * scale + 0.5) / scale
 
 
-def r(c: Column | str, digits: int = 6) -> Column:
-    return F.round(c, digits)
+def rounded(df: DataFrame, cols: dict[str, int]) -> DataFrame:
+    return df.withColumns({c: r(c, n) for c, n in cols.items()})
 
 
 __all__ = ["ORACLES", "QUERIES", "flats", "listings", "over", "query", "r", "rounded", "table", "units", "view"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acrewise.functions.features import clip
+from acrewise.functions.features import clip, round_even
 from acrewise.operators.sampling import gaussian, uniform
 from acrewise.scale import dense_index, medians
 
@@ -50,7 +50,7 @@ def bootstrap_augment(
             "year_built": clip(filled("year_built") + shift, 1920.0, 2026.0),
             "latitude": F.col("latitude") + geo_jitter * gaussian(draw, seed, 4),
             "longitude": F.col("longitude") + geo_jitter * gaussian(draw, seed, 5),
-            "bathrooms": F.bround(clip(filled("bathrooms") + 0.15 * gaussian(draw, seed, 6), 0.5, 8.0), 1),
+            "bathrooms": round_even(clip(filled("bathrooms") + 0.15 * gaussian(draw, seed, 6), 0.5, 8.0), 1),
             "listing_url": F.lit(None).cast("string"),
             "address": F.concat(F.coalesce("address", F.lit("")), F.lit(" [aug]")),
             "data_tier": F.lit("synthetic_augmented"),
