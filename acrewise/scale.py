@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 EXACT_GROUP_ROWS = 1_000_000
 SALTS = 32
+HOT_SHARE = 0.01
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -62,6 +63,17 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE, sample: float = 0.02) -> DataFrame | None:
+    """Keys that hold more than about ``share`` of the rows, at most ``1 / share`` of them; None if there are none.
+
+    Found on a sample: a key that is missed or added changes how work is spread, never a result.
+    """
+    seen = df.select(*keys).sample(sample, 17).groupBy(*keys).count()
+    total = seen.agg(F.sum("count")).first()[0] or 0
+    found = seen.where(F.col("count") > max(share * total, 10)).drop("count").collect()
+    return df.sparkSession.createDataFrame(found, df.select(*keys).schema) if found else None
+
+
 def lookup_join(
     left: DataFrame,
     right: DataFrame,
@@ -74,29 +86,44 @@ def lookup_join(
     """Join a large ``left`` to per-key ``right`` rows without letting a hot key pile up in one task.
 
     ``right`` is settled and counted first. Up to ``max_rows`` rows it is broadcast and ``left`` is not
-    shuffled at all; beyond that both sides are salted, so one key of ``left`` spreads over ``salts`` tasks.
+    shuffled at all; beyond that the rows of hot keys are salted on the left and copied on the right, so a
+    key that holds a third of ``left`` spreads over ``salts`` tasks.
     """
     max_rows = BROADCAST_ROWS if max_rows is None else max_rows
     on = list(on)
+    other = {c: f"__r_{c}" for c in on}
     small = settle(right)
-    small_on = small.withColumnsRenamed({c: f"__r_{c}" for c in on})
 
-    def condition(lhs: DataFrame):
+    def matches(lhs: DataFrame, rhs_names: dict[str, str], nulls: bool = null_safe) -> Column:
         cond = F.lit(True)
-        for c in on:
-            pair = lhs[c].eqNullSafe(F.col(f"__r_{c}")) if null_safe else lhs[c] == F.col(f"__r_{c}")
+        for c, name in rhs_names.items():
+            pair = lhs[c].eqNullSafe(F.col(name)) if nulls else lhs[c] == F.col(name)
             cond = cond & pair
         return cond
 
-    drops = [f"__r_{c}" for c in on]
     if fits_broadcast(small, max_rows):
-        joined = left.join(F.broadcast(small_on), condition(left), how)
-        return joined.drop(*drops)
+        lookup = small.withColumnsRenamed(other)
+        return left.join(F.broadcast(lookup), matches(left, other), how).drop(*other.values())
+    hot = hot_keys(left, on)
+    if hot is None:
+        lookup = small.withColumnsRenamed(other)
+        return left.join(lookup, matches(left, other), how).drop(*other.values())
+
+    # at most 1 / HOT_SHARE hot keys, so marking them is a broadcast join
+    marks = F.broadcast(hot.withColumnsRenamed({c: f"__h_{c}" for c in on}).withColumn("__hot", F.lit(True)))
+    mark_names = {c: f"__h_{c}" for c in on}
+
+    def marked(df: DataFrame) -> DataFrame:
+        # null-safe, so that a large group of missing keys is spread as well
+        return df.join(marks, matches(df, mark_names, nulls=True), "left").drop(*mark_names.values())
+
     hashable = [F.col(f"`{c}`") for c, t in left.dtypes if "map<" not in t]
-    salted = left.withColumn("__salt", F.pmod(F.xxhash64(*hashable), F.lit(salts)).cast("int"))
-    copies = small_on.withColumn("__r_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    joined = salted.join(copies, condition(salted) & (F.col("__salt") == F.col("__r_salt")), how)
-    return joined.drop("__salt", "__r_salt", *drops)
+    spread = F.when(F.col("__hot"), F.pmod(F.xxhash64(*hashable), F.lit(salts)).cast("int")).otherwise(0)
+    salted = marked(left).withColumn("__salt", spread).drop("__hot")
+    every = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    copies = marked(small).withColumn("__r_salt", F.explode(every)).drop("__hot").withColumnsRenamed(other)
+    cond = matches(salted, other) & (F.col("__salt") == F.col("__r_salt"))
+    return salted.join(copies, cond, how).drop("__salt", "__r_salt", *other.values())
 
 
 def first_per_key(df: DataFrame, keys: Sequence[Column | str], order: Sequence[Column | str]) -> DataFrame:

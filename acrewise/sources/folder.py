@@ -6,6 +6,7 @@ import csv
 import logging
 import re
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -42,10 +43,10 @@ def _peek(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lines = []
         for path in batch["path"]:
             try:
-                files, inner = fs.FileSystem.from_uri(path)
+                files, inner = fs.FileSystem.from_uri(quote(path, safe="/:"))
                 with files.open_input_stream(inner) as stream:
                     lines.append(stream.read(_PEEK_BYTES).decode("utf-8", "ignore").splitlines()[0])
-            except (OSError, IndexError):
+            except (OSError, ValueError, IndexError):
                 lines.append(None)
         yield pd.DataFrame({"path": batch["path"], "first_line": lines})
 
@@ -54,17 +55,15 @@ def list_exports(spark: SparkSession, path: str) -> list[tuple[str, str]]:
     """(path, first line) of each usable CSV file of the folder, in name order; file bodies are not read."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path).select("path")
     peeked = files.mapInPandas(_peek, "path string, first_line string").collect()
-    named = sorted((r["path"].rsplit("/", 1)[-1], r["path"], r["first_line"]) for r in peeked)
-    for name, _, line in named:
-        if line is None:
-            log.warning("skipping unreadable file %s", name)
-    return [(p, line) for name, p, line in named if line is not None and not is_skipped(_decoded(name))]
-
-
-def _decoded(name: str) -> str:
-    from urllib.parse import unquote
-
-    return unquote(name)
+    found = []
+    for name, file, line in sorted((r["path"].rsplit("/", 1)[-1], r["path"], r["first_line"] or "") for r in peeked):
+        if is_skipped(name):
+            continue
+        if line:
+            found.append((file, line))
+        else:
+            log.warning("skipping unreadable or empty file %s", name)
+    return found
 
 
 def families_of(first_line: str) -> list[str]:
