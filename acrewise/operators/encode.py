@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from acrewise.operators.similarity import standardized
-from acrewise.scale import medians
+from acrewise.scale import dense_index, lookup_join, medians
 
 
 def standardize(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -21,13 +21,14 @@ def standardize(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def ordinal_encode(df: DataFrame, col: str, out: str) -> DataFrame:
-    """Position of the value among the sorted distinct values; missing values are -1."""
-    model = StringIndexer(
-        inputCol=col, outputCol="__ix", stringOrderType="alphabetAsc", handleInvalid="keep"
-    ).fit(df.where(F.col(col).isNotNull()))
-    coded = model.transform(df)
-    known = F.col("__ix") < len(model.labels)
-    return coded.withColumn(out, F.when(known, F.col("__ix")).otherwise(-1.0).cast("int")).drop("__ix")
+    """Position of the value among the sorted distinct values; missing values are -1.
+
+    The codes stay a table: a column with many values is neither collected nor sorted in one place.
+    """
+    values = df.where(F.col(col).isNotNull()).select(col).distinct()
+    codes = dense_index(values, [col], "__code")
+    coded = lookup_join(df, codes, [col])
+    return coded.withColumn(out, F.coalesce(F.col("__code"), F.lit(-1)).cast("int")).drop("__code")
 
 
 def modes(df: DataFrame, cols: list[str]) -> dict[str, str | None]:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from acrewise.functions.text import fix_zip, sector_number
 from acrewise.operators.filters import top_categories
-from acrewise.scale import lookup_join, quantile_values, quantiles, running_sum
+from acrewise.scale import lookup_join, quantile_values, quantiles, running_sum, stage
 
 # Price bands, lower edge included.
 PRICE_EDGES = [0, 1, 2, 3, 5, 10, 20, 50]
@@ -320,12 +320,13 @@ def rank_correlation(df: DataFrame, target: str, cols: list[str], min_rows: int
             ]
         )
     )
-    counts = (
+    counts = stage(
         df.select(pairs.alias("p"))
         .select("p.*")
         .where(F.col("x").isNotNull() & F.col("y").isNotNull())
         .groupBy("feature", "x", "y")
-        .agg(F.count(F.lit(1)).alias("w"))
+        .agg(F.count(F.lit(1)).alias("w")),
+        "pairs",
     )
     ranked = lookup_join(counts, _average_ranks(counts, "x", "rx"), ["feature", "x"], how="inner")
     ranked = lookup_join(ranked, _average_ranks(counts, "y", "ry"), ["feature", "y"], how="inner")

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 EXACT_GROUP_ROWS = 1_000_000
 SALTS = 32
 HOT_SHARE = 0.01
@@ -58,9 +59,11 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads no more than ``max_rows + 1`` of them."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """True when ``df`` is within both limits; looks at no more than ``max_rows + 1`` of its rows."""
+    width = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    rows, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(width)).first()
+    return rows <= max_rows and (size or 0) <= max_bytes
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE, sample: float = 0.02) -> DataFrame | None:
@@ -85,7 +88,7 @@ def lookup_join(
 ) -> DataFrame:
     """Join a large ``left`` to per-key ``right`` rows without letting a hot key pile up in one task.
 
-    ``right`` is settled and counted first. Up to ``max_rows`` rows it is broadcast and ``left`` is not
+    ``right`` is settled and measured first. Up to ``max_rows`` rows (and a byte limit) it is broadcast and ``left`` is not
     shuffled at all; beyond that the rows of hot keys are salted on the left and copied on the right, so a
     key that holds a third of ``left`` spreads over ``salts`` tasks.
     """
