@@ -401,7 +401,8 @@ def sector_means(df: DataFrame, value: str) -> DataFrame:
 def token_counts(df: DataFrame, c: str, n: int, stop_words: list[str] | None = None) -> DataFrame:
     """Most frequent words of a text column, stop words left out."""
     words = F.regexp_extract_all(F.lower(F.col(c)), F.lit(r"[a-z0-9_][a-z0-9_']*"), F.lit(0))
-    tokens = df.where(F.col(c).isNotNull()).select(F.explode(words).alias("token"))
+    # the outer form keeps Spark from running the regex in a second, repeated filter
+    tokens = df.select(F.explode_outer(words).alias("token")).where(F.col("token").isNotNull())
     if stop_words:
         tokens = tokens.where(~F.col("token").isin(stop_words))
     counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("count"))

@@ -35,7 +35,9 @@ def extract_jsonld(
     Plain form: an object or a list of objects of the given types. ``item_list``: the entries of an ItemList.
     Blocks that are not valid JSON are skipped. Coordinates lose their sign unless ``signed_geo``.
     """
-    blocks = pages.select("page_id", F.explode(F.regexp_extract_all("html", F.lit(_SCRIPT), F.lit(1))).alias("text"))
+    # the outer form keeps Spark from running the regex in a second, repeated filter
+    found = F.explode_outer(F.regexp_extract_all("html", F.lit(_SCRIPT), F.lit(1)))
+    blocks = pages.select("page_id", found.alias("text")).where(F.col("text").isNotNull())
     text = F.trim("text")
     whole = F.when(text.startswith("["), text).otherwise(F.concat(F.lit("["), text, F.lit("]")))
     items = blocks.select("page_id", text.startswith("[").alias("is_list"), F.inline(F.from_json(whole, _SCHEMA)))
@@ -78,6 +80,7 @@ QUOTE_FIELDS = {
 
 def extract_blocks(pages: DataFrame, patterns: dict[str, str] = QUOTE_FIELDS, block: str = QUOTE_BLOCK) -> DataFrame:
     """One row per repeated block of a page, with one column per field pattern."""
-    blocks = pages.select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit(block), F.lit(1))).alias("pos", "b"))
+    found = F.posexplode_outer(F.regexp_extract_all("html", F.lit(block), F.lit(1)))
+    blocks = pages.select("page_id", found.alias("pos", "b")).where(F.col("b").isNotNull())
     fields = [F.regexp_extract("b", pattern, 1).alias(name) for name, pattern in patterns.items()]
     return blocks.select("page_id", "pos", *fields)
