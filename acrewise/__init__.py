@@ -1 +1,8 @@
 """acrewise: property-listing analytics expressed as Spark DataFrame transforms."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# task functions travel with their code, so executors need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
