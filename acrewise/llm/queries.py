@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acrewise.llm import exact_dedup, quality, simhash
+from acrewise.llm import exact_dedup, line_dedup, packing, quality, simhash
 from acrewise.llm.registry import ORACLES, QUERIES, query, table
 
 
@@ -15,6 +16,13 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query("op2_packing")
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = packing.pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    thin = cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.pack(thin)
+
+
 _STOPS = ", ".join(f"'{w}'" for w in quality._stop_words())
 
 _QUALITY_SQL = rf"""
@@ -57,6 +65,48 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+_LINES_SQL = r"""
+WITH t AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS all_lines, text FROM documents),
+u AS (SELECT doc_id, unnest(all_lines) AS line, unnest(range(len(all_lines))) AS raw FROM t),
+l AS (
+  SELECT doc_id, raw, line, row_number() OVER (PARTITION BY doc_id ORDER BY raw) AS pos,
+         len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n
+  FROM u WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+c AS (SELECT *, sum(n) OVER (PARTITION BY doc_id ORDER BY pos) AS upto FROM l),
+w AS (
+  SELECT a.doc_id, a.pos AS first, min(b.pos) AS last FROM c a JOIN c b
+  ON a.doc_id = b.doc_id AND b.pos >= a.pos AND b.upto - a.upto + a.n >= 50 GROUP BY ALL
+  UNION
+  SELECT b.doc_id, max(a.pos) AS first, b.pos AS last FROM c a JOIN c b
+  ON a.doc_id = b.doc_id AND b.pos >= a.pos AND b.upto - a.upto + a.n >= 50 GROUP BY b.doc_id, b.pos),
+x AS (
+  SELECT w.doc_id, first, last, string_agg(line, chr(10) ORDER BY pos) AS content, min(raw) AS raw_first, max(raw) AS raw_last
+  FROM w JOIN l ON l.doc_id = w.doc_id AND l.pos BETWEEN first AND last GROUP BY ALL),
+later AS (SELECT *, row_number() OVER (PARTITION BY content ORDER BY doc_id, first) AS copy FROM x QUALIFY copy > 1),
+gone AS (SELECT DISTINCT l.doc_id, l.pos FROM l JOIN later ON l.doc_id = later.doc_id AND l.pos BETWEEN later.first AND later.last),
+cut AS (
+  SELECT DISTINCT u.doc_id, u.raw FROM u JOIN gone a ON a.doc_id = u.doc_id JOIN l la ON la.doc_id = a.doc_id AND la.pos = a.pos
+  WHERE la.raw = u.raw
+  UNION
+  SELECT u.doc_id, u.raw FROM u JOIN l la ON la.doc_id = u.doc_id JOIN l lb ON lb.doc_id = la.doc_id AND lb.pos = la.pos + 1
+  JOIN gone a ON a.doc_id = la.doc_id AND a.pos = la.pos JOIN gone b ON b.doc_id = lb.doc_id AND b.pos = lb.pos
+  WHERE u.raw > la.raw AND u.raw < lb.raw),
+kept AS (
+  SELECT u.doc_id, string_agg(u.line, chr(10) ORDER BY u.raw) AS text FROM u
+  LEFT JOIN cut ON cut.doc_id = u.doc_id AND cut.raw = u.raw WHERE cut.raw IS NULL GROUP BY u.doc_id),
+n AS (SELECT doc_id, count(*) AS n_deleted FROM gone GROUP BY doc_id)
+SELECT t.doc_id, coalesce(n.n_deleted, 0)::BIGINT AS n_deleted,
+       CASE WHEN n.n_deleted IS NULL THEN t.text ELSE coalesce(kept.text, '') END AS text
+FROM t LEFT JOIN n ON n.doc_id = t.doc_id LEFT JOIN kept ON kept.doc_id = t.doc_id
+"""
+
+
+@query("op6_line_dedup", _LINES_SQL)
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return cut.select("__row.doc_id", F.col("__deleted").alias("n_deleted"), F.col("__text").alias("text"))
+
+
 _EXACT_SQL = r"""
 WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents),
 g AS (SELECT norm, min(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY norm)
