@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acrewise.llm import exact_dedup, line_dedup, packing, quality, simhash
+from acrewise.llm import exact_dedup, line_dedup, packing, pii, quality, secrets, simhash
 from acrewise.llm.registry import ORACLES, QUERIES, query, table
 
 
@@ -120,4 +120,31 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicates(table(spark, sf_dir, "documents"))
 
 
+def _joined(spans: Column) -> Column:
+    """kind:start:end of each span, comma-joined in the order of the array."""
+    return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+
+
+def _span_digest(found: DataFrame, kinds: tuple[str, ...]) -> list[Column]:
+    base = F.filter("found", lambda x: x["base"])
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(base, lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(k) for k in kinds]
+    return [*counts, F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("found")).alias("spans")]
+
+
+@query("op8_pii")
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *_span_digest(found, pii.KINDS))
+
+
+@query("op5_secrets")
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *_span_digest(found, secrets.KINDS))
+
+
 __all__ = ["ORACLES", "QUERIES"]
