@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acrewise.llm import exact_dedup, line_dedup, packing, pii, quality, secrets, simhash
+from acrewise.llm import exact_dedup, line_dedup, lm, packing, pii, quality, secrets, simhash
 from acrewise.llm.registry import ORACLES, QUERIES, query, table
 
 
@@ -141,6 +141,11 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *_span_digest(found, pii.KINDS))
 
 
+@query("op4_lm")
+def op4_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scores(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query("op5_secrets")
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find(table(spark, sf_dir, "documents"))
