@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acrewise.llm import exact_dedup, line_dedup, lm, packing, pii, quality, secrets, simhash
+from acrewise.llm import exact_dedup, line_dedup, lm, packing, pii, quality, secrets, simhash, warc
 from acrewise.llm.registry import ORACLES, QUERIES, query, table
 
 
@@ -152,4 +152,24 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *_span_digest(found, secrets.KINDS))
 
 
+_WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+g AS (SELECT html, max(page_id) AS first FROM p GROUP BY html),
+h AS (SELECT p.*, g.first, upper(sha1(p.html)) AS hex FROM p JOIN g ON g.html = p.html)
+SELECT page_id, strlen(html)::BIGINT AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i:
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                (('0x' || substr(hex, (i // 4) * 5 + 1, 5))::BIGINT >> (15 - 5 * (i % 4)) & 31) + 1, 1)), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM h
+"""
+
+
+@query("op9_warc", _WARC_SQL)
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = warc.archived(table(spark, sf_dir, "pages"))
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 __all__ = ["ORACLES", "QUERIES"]
