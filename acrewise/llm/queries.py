@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acrewise.llm import exact_dedup, line_dedup, lm, packing, pii, quality, secrets, simhash, warc
+from acrewise.llm import bpe, exact_dedup, line_dedup, lm, packing, pii, quality, secrets, simhash, warc
 from acrewise.llm.registry import ORACLES, QUERIES, query, table
 
 
@@ -172,4 +172,13 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query("op10_bpe")
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    coded = bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    ids = F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256")
+    back = F.sha2(bpe.decoded(F.col("ids"), path), 256).alias("decoded_sha256")
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), ids, back)
+
+
 __all__ = ["ORACLES", "QUERIES"]
