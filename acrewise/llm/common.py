@@ -31,3 +31,21 @@ def worker_store(name: str) -> dict:
     """A dict that lives as long as the Python worker, for tables that are dear to build (tokenizers, word caches)."""
     module = sys.modules.setdefault("_acrewise_worker_store", types.ModuleType("_acrewise_worker_store"))
     return module.__dict__.setdefault(name, {})
+
+
+def bounded_sample(df: DataFrame, key: Column, rows: int) -> DataFrame:
+    """About ``rows`` rows chosen by a hash of ``key``, for fits with a documented bound.
+
+    The share is set from the row count and applied in the scan, so that no more than about ``rows`` rows leave the tasks.
+    """
+    share = min(1.0, rows / max(1, df.count()))
+    return df.where(F.pmod(F.xxhash64(key, F.lit(1)), F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))
+
+
+def evaluated(df: DataFrame, cols: dict[str, Column]) -> DataFrame:
+    """``df`` plus ``cols``, each computed once for a row.
+
+    A plain projection may be merged into what reads it: the optimizer then repeats an expression in every filter
+    on its result, and for each element of a lambda that mentions it. A generator is not merged.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))))

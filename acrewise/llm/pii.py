@@ -7,7 +7,7 @@
   messages give each node its marginal, and a token whose best kind reaches ``threshold`` becomes a span.
 * Fit: node weights by multinomial logistic regression, chain and skip potentials by agreement counts, on the tokens of at
   most ``sample`` documents with such tokens and at most ``sample_chars`` characters each, taken in the order of a hash
-  of their id; the labels are the base spans. The bound holds for the fit alone: every document is scanned whole.
+  of their id from about ``LOOK_AT`` times as many; the labels are the base spans. The bound holds for the fit alone: every document is scanned whole.
 
 Documents are independent rows: nothing is shuffled but the fit's sample. Null text counts as empty and has no span;
 repeated rows get the same spans; extra columns are ignored; without labelled tokens the field adds nothing.
@@ -23,11 +23,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acrewise.llm.common import slim
+from acrewise.llm.common import bounded_sample, slim
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE, SAMPLE_CHARS, THRESHOLD, ROUNDS = 3000, 20_000, 0.95, 6
 
+#: documents that are looked at for each one that the fit may take
+LOOK_AT = 20
+
 # no pattern starts inside a run that an earlier start has failed on, so long runs cost linear time
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -191,7 +194,8 @@ def _labels(found, spans) -> list[int]:
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE, sample_chars: int = SAMPLE_CHARS) -> dict:
     """Weights of the field; see the module for the bounded sample."""
-    rows = slim(docs, id_col, text_col).where(F.col("text").rlike("[0-9@]") & (F.length("text") <= sample_chars))
+    chosen = bounded_sample(slim(docs, id_col, text_col), F.col("doc_id"), LOOK_AT * sample)
+    rows = chosen.where(F.col("text").rlike("[0-9@]") & (F.length("text") <= sample_chars))
     texts = [r["text"] for r in rows.orderBy(F.xxhash64("doc_id"), F.xxhash64("text")).limit(sample).select("text").collect()]
     held = [(t, nodes(t)) for t in texts]
     x, chain, skip = _graph(held)

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from acrewise.llm.common import WORD, slim, words_of
+from acrewise.llm.common import WORD, evaluated, slim, words_of
 
 # Frequent function words of the languages served.
 STOP_WORDS = {
@@ -63,7 +63,7 @@ def with_metrics(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` plus the counts and ratios that the rules read; ``text`` must not be null."""
     stop = _stop_words()
     lines = F.filter(F.split(F.col(text), "\n"), lambda x: x.rlike(WORD))
-    df = df.withColumns({"__words": words_of(F.col(text)), "__lines": lines})
+    df = evaluated(df, {"__words": words_of(F.col(text)), "__lines": lines})
     last = F.size("__words") - WINDOW
     hashed = F.transform(
         F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
@@ -71,18 +71,19 @@ def with_metrics(df: DataFrame, text: str = "text") -> DataFrame:
     )
     # equal windows hash alike, so texts without equal hashes have no repeats; only the others compare whole windows
     joined = F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.array_join(F.slice("__words", i + 1, WINDOW), " "))
-    df = df.withColumn("__unlike", F.size(F.array_distinct(hashed)) >= F.size("__words") - WINDOW + 1)
+    unlike = F.size(F.array_distinct(hashed)) >= F.size("__words") - WINDOW + 1
     n = F.size("__words")
-    df = df.withColumns(
+    df = evaluated(
+        df,
         {
             "n_words": n.cast("long"),
             "word_chars": F.length(F.array_join("__words", "")).cast("long"),
             "n_symbols": (F.length(text) - F.length(F.regexp_replace(text, r"[#*$%&|<>]", ""))).cast("long"),
             "n_dup_lines": (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long"),
-            "n_repeat_words": F.when(F.col("__unlike"), F.lit(0)).otherwise(_covered(F.col("__words"), joined)).cast("long"),
+            "n_repeat_words": F.when(unlike, F.lit(0)).otherwise(_covered(F.col("__words"), joined)).cast("long"),
             "__stops": F.size(F.filter("__words", lambda w: w.isin(stop))),
             "__n_lines": F.size("__lines"),
-        }
+        },
     )
     over = lambda a, b: F.col(a) / F.greatest(F.col(b), F.lit(1))
     return df.withColumns(
@@ -93,7 +94,7 @@ def with_metrics(df: DataFrame, text: str = "text") -> DataFrame:
             "dup_line_ratio": over("n_dup_lines", "__n_lines"),
             "chars_per_line": over("word_chars", "__n_lines"),
         }
-    ).drop("__words", "__lines", "__unlike", "__stops", "__n_lines")
+    ).drop("__words", "__lines", "__stops", "__n_lines")
 
 
 def verdict(rules: Sequence[tuple[str, float | None, float | None, int]] = RULES) -> Column:

@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from acrewise.llm.common import bounded_sample
 from acrewise.scale import shared_folder
 
 SAMPLE_RECORDS, SAMPLE_CHARS, DICTIONARY_BYTES = 400, 65_536, 65_536
@@ -133,7 +134,7 @@ def dictionary(pages: DataFrame, id_col: str, url_col: str, html_col: str, date:
     import zstandard
 
     rows = pages.select(F.col(f"`{id_col}`").cast("long").alias("i"), F.col(f"`{url_col}`").cast("string").alias("u"), F.col(f"`{html_col}`").cast("string").alias("h"))
-    rows = rows.where(F.length("h") <= SAMPLE_CHARS).orderBy(F.xxhash64("i"), "i", "u", "h").limit(SAMPLE_RECORDS).collect()
+    rows = bounded_sample(rows, F.col("i"), 4 * SAMPLE_RECORDS).where(F.length("h") <= SAMPLE_CHARS).orderBy(F.xxhash64("i"), "i", "u", "h").limit(SAMPLE_RECORDS).collect()
     samples = [page_record(r["i"], r["u"], r["h"].encode(), None, False, date) for r in rows]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples, level=LEVEL).as_bytes()
