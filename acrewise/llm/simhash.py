@@ -158,7 +158,7 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, crowded: int = CROWDED) -> D
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node, root (smallest node reachable) for every node of ``edges`` (a, b): alternating star joins."""
+    """node, root (smallest node reachable) for every node of ``edges`` (a, b) but the roots: alternating star joins."""
 
     def stars(pairs: DataFrame) -> DataFrame:
         # large: every larger neighbour of u goes to the smallest of u and its neighbours

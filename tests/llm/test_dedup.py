@@ -62,12 +62,11 @@ def test_links_lose_nothing_in_crowded_keys(spark, crowded):
         fps.add(r.getrandbits(64))
     fps = sorted(fps)
     df = spark.createDataFrame([(f - (1 << 64) if f >> 63 else f,) for f in fps], "fp long")
-    roots = {x["node"] & (1 << 64) - 1: x["root"] for x in simhash.components(simhash.links(df, crowded=crowded)).collect()}
+    roots = {f: f - (1 << 64) if f >> 63 else f for f in fps} | {x["node"] & (1 << 64) - 1: x["root"] for x in simhash.components(simhash.links(df, crowded=crowded)).collect()}
     group = brute_components(fps)
     for i in range(len(fps)):
         for j in range(i):
-            same = fps[i] in roots and roots[fps[i]] == roots.get(fps[j])
-            assert same == (group[i] == group[j])
+            assert (roots[fps[i]] == roots[fps[j]]) == (group[i] == group[j])
 
 
 def test_components_of_a_long_path(spark):
