@@ -3,7 +3,7 @@
 * A text is cut into words by the tokenizer's pattern, each encoded by itself. :func:`merged` starts from the bytes of a word
   and folds over them: each step joins the adjacent pair of the lowest rank, until no pair is in the rank map. The map is a
   literal of the plan, dealt into buckets by hash, so a lookup reads one short map; pieces are written in hexadecimal digits.
-* Frequent words (1/HEAD of all words each, so at most HEAD of them, and at most HEAD_BYTES long) are folded once and broadcast. The
+* The most frequent words (at most HEAD of them, and at most HEAD_BYTES long) are folded once and broadcast. The
   other distinct words of a text are folded in its row. Only word counts are shuffled, combined in the tasks first.
 * Words of more than ``LONG_BYTES`` bytes take the same merges from a heap in the task, because a fold over them
   would cost the square of their length.
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from acrewise.llm.common import slim, worker_store
+from acrewise.llm.common import most_frequent, slim, worker_store
 from acrewise.scale import stage
 
 HEAD, HEAD_BYTES, LONG_BYTES = 1 << 18, 64, 512
@@ -188,9 +188,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     """doc_id and ``ids`` (array of int) of every row of ``docs``."""
     rows = slim(docs, id_col, text_col)
     counts = stage(_word_counts(rows.select("text"), pattern), "bpe-counts")
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    # at least 1 / HEAD of all words each: no more than HEAD rows
-    head = counts.where((F.col("n") * HEAD >= F.lit(total)) & (F.octet_length("word") <= HEAD_BYTES))
+    head = counts.where(most_frequent(counts, "n", HEAD) & (F.octet_length("word") <= HEAD_BYTES))
     folded = head.repartition("word").select("word", merged(F.array("word"), path)[0].alias("ids"))
     known = {r["word"]: np.array(r["ids"], "<i4").tobytes() for r in folded.collect()}
     shared = docs.sparkSession.sparkContext.broadcast((known, path, ranks(path)))
