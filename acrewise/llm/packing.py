@@ -9,7 +9,7 @@
 * Pieces find their place by their number among the pieces of their length: a count for each (length, block of ids),
   offsets of the blocks, and a row number inside a block. No length or block is gathered in one task.
 
-Reduction (Martello and Toth): take the longest piece left. If nothing fits beside it, it is placed alone. If one more piece at
+Reduction (Martello and Toth): take the pieces from the longest on; all that are left may stand beside it. If nothing fits beside it, it is placed alone. If one more piece at
 most fits beside it, or its best partner fills the sequence exactly, or at most two
 fit and the best partner is at least as long as the best two together, that pair dominates every other choice and is fixed. Otherwise the piece is left to best-fit.
 
@@ -32,47 +32,68 @@ CAPACITY = 2048
 END_ID = 0
 #: pieces to a block of the numbering
 BLOCK_ROWS = 20_000
-#: words that a worker remembers
-CACHE_WORDS = 400_000
+#: words in each of the two generations that a worker remembers
+CACHE_WORDS = 500_000
+_MARKS = "!\"#$%&'()*,-./:;?"
 
 
 def _encoder(path: str):
-    """bytes of little-endian ids for a text, by the tokenizers library; words between single spaces are remembered.
+    """A function from a text to its ids as little-endian bytes, by the tokenizers library; words are remembered.
 
-    The tokenizer's pattern always cuts before a single space between characters that are not white space, and around
-    a single line break between such characters, so the text can be encoded word by word there; other texts are encoded whole.
+    The tokenizer's pattern always cuts before a single space between characters that are not white space, around a
+    single line break between such characters, and between letters and the marks behind them, so the text can be encoded
+    word by word there; other texts are encoded whole. A worker remembers the words of two generations: when the
+    younger is full it becomes the older one, and words that are met again move back.
     """
-    import numpy as np
+    import array
+
     from tokenizers import Tokenizer
 
     store = worker_store(f"packing:{path}")
     if not store:
         loaded = Tokenizer.from_file(path)
         loaded.encode_special_tokens = True  # their strings in a text are ordinary text
-        store["tokenizer"], store["words"] = loaded, {}
-    tokenizer, words = store["tokenizer"], store["words"]
+        store.update(tokenizer=loaded, young={}, old={}, marks={})
+    tokenizer, marks = store["tokenizer"], store["marks"]
 
     def ids(text: str) -> bytes:
-        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return array.array("I", tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def splits(word: str) -> bool:
+    def fresh(word: str) -> bytes | None:
+        """ids of a word, or None if the text may not be cut around it."""
         core = word[1:] if word[:1] == "\n" else word
-        return bool(core) and not core[0].isspace() and not core[-1].isspace()
+        if not core or core[0].isspace() or core[-1].isspace():
+            return None
+        if core is not word:
+            return ids(word)
+        letters = word.rstrip(_MARKS)
+        tail = word[len(letters) :]
+        if not tail or len(tail) > 8 or not letters.isalpha() or max(letters) >= "\u0800":
+            return ids(" " + word)
+        if tail not in marks:
+            marks[tail] = ids(tail)
+        return known(letters) + marks[tail]
+
+    def known(word: str) -> bytes | None:
+        got = store["young"].get(word)
+        if got is None:
+            got = store["old"].get(word) or fresh(word)
+            if got is not None and len(word) <= 64:
+                if len(store["young"]) >= CACHE_WORDS:
+                    store["old"], store["young"] = store["young"], {}
+                store["young"][word] = got
+        return got
 
     def encode(text: str) -> bytes:
         first, *rest = text.replace("\n", " \n").split(" ")
         if not first or first[0].isspace() or first[-1].isspace():
             return ids(text)
+        young = store["young"].get
         out = [ids(first)]
         for word in rest:
-            got = words.get(word)
+            got = young(word) or known(word)
             if got is None:
-                if not splits(word):
-                    return ids(text)
-                got = ids(word if word[0] == "\n" else " " + word)
-                if len(words) >= CACHE_WORDS:
-                    words.clear()
-                words[word] = got
+                return ids(text)
             out.append(got)
         return b"".join(out)
 
@@ -115,7 +136,7 @@ def pieces(
 
 def _reduce(counts: dict[int, int], capacity: int) -> tuple[list[tuple[int, list[int]]], dict[int, int]]:
     """Dominating sets as (times, lengths), and the counts that are left for best-fit."""
-    counts, fixed, later = dict(counts), [], {}
+    counts, fixed = dict(counts), []
     for longest in sorted(counts, reverse=True):
         while counts.get(longest):
             lengths = sorted(x for x, n in counts.items() if n)
@@ -146,14 +167,13 @@ def _reduce(counts: dict[int, int], capacity: int) -> tuple[list[tuple[int, list
                 # three pieces beside it would have to be weighed too
                 dominates = best >= two and 3 * least > room
             if not dominates:
-                later[longest] = counts.pop(longest)
-                continue
+                break
             # the verdict holds while the partner lasts; then it is asked again
             times = counts[longest] // 2 if best == longest else min(counts[longest], counts[best])
             fixed.append((times, [longest, best]))
             counts[longest] -= times
             counts[best] -= times
-    return fixed, later
+    return fixed, {x: n for x, n in counts.items() if n}
 
 
 def _best_fit(counts: dict[int, int], capacity: int) -> list[tuple[int, list[int]]]:
