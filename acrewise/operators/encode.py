@@ -163,13 +163,12 @@ def cluster(
     return labelled.drop("__vec", "__cluster", *([f"{c}_std" for c in cols] if scale else []))
 
 
-def geo_clusters(df: DataFrame, out: str = "location_cluster", n_init: int = 10) -> DataFrame:
-    """Geographic clusters: 8 from 500 rows on, else 4; missing coordinates use the medians."""
+def geo_clusters(df: DataFrame, out: str = "location_cluster", n_init: int = 10, k: int = 8) -> DataFrame:
+    """Geographic clusters; missing coordinates use the medians."""
     if not {"latitude", "longitude"} <= set(df.columns):
         return df.withColumn(out, F.lit(0))
     mid = medians(df, ["latitude", "longitude"])
     filled = df.withColumns(
         {f"__{c}": F.coalesce(F.col(c), F.lit(mid[c]).cast("double")) for c in ("latitude", "longitude")}
     )
-    k = 8 if df.count() >= 500 else 4
     return cluster(filled, ["__latitude", "__longitude"], k, out, n_init).drop("__latitude", "__longitude")

@@ -94,13 +94,13 @@ def scores_for(
     anchor_id,
     key: str = "listing_id",
     weights: tuple[float, ...] = WEIGHTS,
-    text_col: str | None = None,
+    text_col: str | None = "description",
     stop_words: list[str] | None = None,
 ) -> DataFrame:
     """Blended similarity of every row to one anchor row, the anchor itself scored -1.
 
-    The anchor is one row of literals, so scoring is a projection over the table without any join; with
-    ``text_col`` the rows sharing a weighted term with the anchor are joined by id.
+    The anchor is one row of literals, so scoring is a projection over the table without any join. Where the table has
+    ``text_col`` and it holds words, rows sharing a weighted term with the anchor are joined by id (None: leave texts out).
     """
     blocks = similarity_blocks(df)
     anchor = blocks.where(F.col(key) == anchor_id).select("sim_num", "sim_cat", "sim_geo").first()

@@ -93,12 +93,9 @@ def mean_of_numerics(df: DataFrame, key: str) -> DataFrame:
     return df.dropna(subset=[key]).groupBy(key).agg(*[F.avg(c).alias(c) for c in numeric])
 
 
-def pivot_values(df: DataFrame, col: str, limit: int = 1000) -> list:
-    """Distinct values that become pivot columns; refuses more than a table can reasonably have."""
-    found = df.where(F.col(col).isNotNull()).select(col).distinct().limit(limit + 1).collect()
-    if len(found) > limit:
-        raise ValueError(f"{col} has more than {limit} values; pivot a coarser column")
-    return sorted(r[0] for r in found)
+def pivot_values(df: DataFrame, col: str) -> list:
+    """Distinct values that become pivot columns: the columns of the result are names that the driver must know."""
+    return sorted(r[0] for r in df.where(F.col(col).isNotNull()).select(col).distinct().collect())
 
 
 def crosstab(df: DataFrame, a: str, b: str, values: list | None = None) -> DataFrame:
@@ -297,17 +294,13 @@ def corr_with(df: DataFrame, target: str, cols: list[str], listwise: bool = Fals
 def _average_ranks(counts: DataFrame, axis: str, out: str) -> DataFrame:
     """Average rank of each value of ``axis`` within its feature, from weighted distinct values."""
     per_value = counts.groupBy("feature", axis).agg(F.sum("w").alias("__w"))
-    ranked = running_sum(per_value, "__w", ["feature", axis], "__upto")
-    # ranks are counted over all features in order; subtract the rows of the features before
-    before = lookup_join(
-        ranked, ranked.groupBy("feature").agg(F.min(F.col("__upto") - F.col("__w")).alias("__start")), ["feature"]
-    )
-    rank = F.col("__upto") - F.col("__start") - (F.col("__w") - 1) / 2
-    return before.select("feature", axis, rank.alias(out))
+    ranked = running_sum(per_value, "__w", [axis], "__upto", by=["feature"])
+    return ranked.select("feature", axis, (F.col("__upto") - (F.col("__w") - 1) / 2).alias(out))
 
 
-def rank_correlation(df: DataFrame, target: str, cols: list[str], min_rows: int = 50) -> DataFrame:
-    """Pearson and Spearman with the target per column (rows with both values), by falling |spearman|.
+def rank_correlation(df: DataFrame, target: str, cols: list[str], min_rows: int = 0) -> DataFrame:
+    """Pearson and Spearman with the target per column (rows with both values), by falling |spearman|; NULL
+    where there are no values. ``min_rows`` leaves out columns with fewer rows.
 
     Equal (value, target) pairs are counted first; ranks come from prefix sums over distinct values, so no
     task ever sorts a whole column.
@@ -336,10 +329,9 @@ def rank_correlation(df: DataFrame, target: str, cols: list[str], min_rows: int
     w = F.col("w")
     spearman = F.try_divide(F.sum(w * dx * dy), F.sqrt(F.sum(w * dx * dx)) * F.sqrt(F.sum(w * dy * dy)))
     out = ranked.groupBy("feature").agg(spearman.alias("spearman"), F.first("n").alias("n"))
-    out = out.where(F.col("n") >= min_rows).drop("n")
     linear = corr_with(df, target, cols).select("feature", F.col("corr").alias("pearson"))
-    joined = lookup_join(out, linear, ["feature"])
-    return joined.select("feature", "pearson", "spearman").orderBy(F.desc(F.abs("spearman")), "feature")
+    joined = lookup_join(linear, out, ["feature"]).where(F.coalesce("n", F.lit(0)) >= min_rows)
+    return joined.select("feature", "pearson", "spearman").orderBy(F.desc_nulls_last(F.abs("spearman")), "feature")
 
 
 def ols_trend(df: DataFrame, x: str, y: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from acrewise.functions.features import AMENITY_PATTERNS
 from acrewise.functions.unit_values import AMENITY_WEIGHTS, SECTOR_ALIASES, SECTOR_ALIASES_AFTER
 from acrewise.operators import profile as pf
@@ -25,12 +27,12 @@ from acrewise.queries.scalars import (
 from acrewise.queries.tables import _BUILT as IMPUTED_BUILT
 from acrewise.queries.tables import dedupe_sql, iqr_chain_sql, mode_pass_sql
 from acrewise.scale import shared_folder
-from acrewise.sources.folder import families_of, ingest_folder, is_skipped
+from acrewise.sources.folder import ingest_folder, is_skipped, sniff_exports
 from acrewise.sources.sinks import write_report, write_table
 
 # files ---------------------------------------------------------------------------------------------------
 
-_WIDE = """SELECT CAST(price AS STRING) AS price, 'https://ex.com/w/' || CAST(listing_id AS STRING) AS detailUrl, CAST(bedrooms AS STRING) AS beds, CAST(bathrooms AS STRING) AS baths,
+_WIDE = """SELECT 'line one,\n"line two"\n' || CAST(listing_id AS STRING) AS note, CAST(price AS STRING) AS price, 'https://ex.com/w/' || CAST(listing_id AS STRING) AS detailUrl, CAST(bedrooms AS STRING) AS beds, CAST(bathrooms AS STRING) AS baths,
  CAST(sqft AS STRING) AS area, location AS addressCity, state AS addressState, zipcode AS addressZipcode, address FROM listings WHERE price IS NOT NULL"""
 _BLOB = """SELECT '{"price": {"value": ' || CAST(price AS STRING) || '}, "bedrooms": None, "livingArea": ' || coalesce(CAST(sqft AS STRING), 'None') || ', "address": {"city": "' || location || '"}, "hdpView": {"hdpUrl": "/b/'
  || CAST(listing_id AS STRING) || '"}}' AS property, 'x' AS note FROM listings WHERE price IS NOT NULL"""
@@ -55,13 +57,26 @@ def s02(spark, sf):
     return ingest_folder(spark, _export_folder(spark, sf)).select("price", "sqft", "location", "listing_url", "data_tier")
 
 
-@query("s03_skip_and_sniff")
+_NAMES = "SELECT DISTINCT unnest([source_file, replace(source_file, '.csv', ' (1).csv'), 'metro_' || source_file]) AS item FROM listings"
+
+
+@query(
+    "s03_skip_and_sniff",
+    over("listings", f"""SELECT item, starts_with(item, 'metro_') OR contains(item, ' (1)') AS skipped, '' AS families FROM ({_NAMES})
+     UNION ALL SELECT 'header', false, families FROM (VALUES ('wide'), ('blob'), ('export')) f(families) WHERE EXISTS (SELECT 1 FROM listings WHERE price IS NOT NULL)"""),
+)
 def s03(spark, sf):
-    # file names derived from the listings' source files, one decision each
-    names = [row[0] for row in listings(spark, sf).select("source_file").distinct().limit(1000).collect()]
-    names += [n.replace(".csv", " (1).csv") for n in names] + [f"metro_{n}" for n in names]
-    rows = [(n, is_skipped(n), ",".join(families_of("price,detailUrl"))) for n in sorted(names)]
-    return spark.createDataFrame(rows, "name string, skipped boolean, families string")
+    # names derived from the listings' source files, and the headers of the files that were really written
+    file = F.col("source_file")
+    names = listings(spark, sf).select(F.explode(F.array(file, F.replace(file, F.lit(".csv"), F.lit(" (1).csv")), F.concat(F.lit("metro_"), file))).alias("item"))
+
+    def decide(batches):
+        for b in batches:
+            yield b.assign(skipped=b["item"].map(is_skipped), families="")
+
+    decided = names.distinct().mapInPandas(decide, "item string, skipped boolean, families string")
+    sniffed = sniff_exports(spark, _export_folder(spark, sf)).select(F.lit("header").alias("item"), "skipped", "families").distinct()
+    return decided.unionByName(sniffed)
 
 
 @query("c01_collect", over("listings", _RAW + " SELECT price, sqft, location, listing_url, 'real_raw' AS data_tier, false AS is_synthetic_augment FROM a"))
@@ -133,7 +148,7 @@ FEATURES = (
 
 
 def _features(spark, sf, clusters):
-    return lp.engineer_features(lp.preprocess(listings(spark, sf)), 2026, clusters=clusters, n_init=2)
+    return lp.engineer_features(lp.preprocess(listings(spark, sf)), 2026, clusters=clusters)
 
 
 _DIGITS = {

@@ -110,13 +110,13 @@ def e07(spark, sf):
 @query("e08_furnishing_type")
 def e08(spark, sf):
     names = [f"n_{t.lower()}" for t in _FURNITURE]
-    rows = en.cluster(_furnished(spark, sf), names, 3, "furnishing_type", n_init=3, scale=True, order_by="total")
+    rows = en.cluster(_furnished(spark, sf), names, 3, "furnishing_type", n_init=10, scale=True, order_by="total")
     return rows.select("property_id", "furnishing_type")
 
 
 @query("e09_geo_clusters")
 def e09(spark, sf):
-    return en.geo_clusters(listings(spark, sf), n_init=3).select("listing_id", "location_cluster")
+    return en.geo_clusters(listings(spark, sf), n_init=10).select("listing_id", "location_cluster")
 
 
 # selection -----------------------------------------------------------------------------------------------
@@ -216,8 +216,8 @@ def t01(spark, sf):
 @query("t02_cross_validate")
 def t02(spark, sf):
     rows = sm.hash_folds(md.labelled(model_rows(spark, sf)), "listing_id", 5)
-    stages = en.build_preprocessor(MODEL_FEATURES[:5], []).getStages()
-    mean, sd, rmse = md.cross_validate(md.Pipeline(stages=[*stages, md.linear()]), rows, 5)
+    ready = md.prepared_folds(en.build_preprocessor(*md.split_types(rows, MODEL_FEATURES)), rows, 5)
+    mean, sd, rmse = md.cross_validate(md.linear(), ready)
     return spark.createDataFrame([(mean, sd, rmse)], "r2_mean double, r2_std double, rmse_log double")
 
 
@@ -226,34 +226,38 @@ def t03(spark, sf):
     models = {
         "linear_regression": (md.linear(), {}),
         "random_forest": (md.forest(5, 4), {"numTrees": [3, 6], "maxDepth": [3, 5]}),
+        "gradient_boosting": (md.boosting(4, 3, 0.2), {"maxIter": [4, 8]}),
     }
-    _, _, metrics = md.train_models(model_rows(spark, sf), models=models, folds=2, features=MODEL_FEATURES)
+    _, _, metrics = md.train_models(model_rows(spark, sf), models=models, features=MODEL_FEATURES)
     return metrics
 
 
-@query("t04_linear_family")
-def t04(spark, sf):
+def _linear_family(spark, sf):
     rows = md.labelled(model_rows(spark, sf))
     sd, n = rows.agg(F.stddev_pop("label"), F.count("label")).first()
-    models = {
+    return {
         "linear_regression": md.linear(),
         "ridge": md.linear(2.0, label_sd=sd, rows=n, kind="ridge"),
         "lasso": md.linear(0.01, kind="lasso"),
         "elastic_net": md.linear(0.01, 0.5, label_sd=sd, kind="elastic_net"),
     }
-    return md.compare_models(model_rows(spark, sf), folds=2, features=MODEL_FEATURES, models=models)[0]
+
+
+@query("t04_linear_family")
+def t04(spark, sf):
+    return md.compare_models(model_rows(spark, sf), features=MODEL_FEATURES, models=_linear_family(spark, sf))[0]
 
 
 @query("t05_random_forest")
 def t05(spark, sf):
     models = {"random_forest": md.forest(10, 6)}
-    return md.compare_models(model_rows(spark, sf), folds=2, features=MODEL_FEATURES, models=models)[0]
+    return md.compare_models(model_rows(spark, sf), features=MODEL_FEATURES, models=models)[0]
 
 
 @query("t06_boosting")
 def t06(spark, sf):
     models = {"gradient_boosting": md.boosting(8, 4, 0.2)}
-    return md.compare_models(model_rows(spark, sf), folds=2, features=MODEL_FEATURES, models=models)[0]
+    return md.compare_models(model_rows(spark, sf), features=MODEL_FEATURES, models=models)[0]
 
 
 _PRED = "SELECT listing_id, property_type, bedrooms, price AS y_true, price * (0.85 + CAST(listing_id % 31 AS DOUBLE) / 100) AS y_pred FROM listings WHERE price IS NOT NULL"
@@ -276,8 +280,8 @@ def t07(spark, sf):
 
 @query("t08_compare_models")
 def t08(spark, sf):
-    models = {"linear_regression": md.linear(), "lasso": md.linear(0.01, kind="lasso"), "random_forest": md.forest(5, 5)}
-    return md.compare_models(model_rows(spark, sf), folds=2, features=MODEL_FEATURES, models=models)[0]
+    models = {**_linear_family(spark, sf), "random_forest": md.forest(10, 6), "gradient_boosting": md.boosting(8, 4, 0.2)}
+    return md.compare_models(model_rows(spark, sf), features=MODEL_FEATURES, models=models)[0]
 
 
 _ERR = f", p AS ({_PRED}), e AS (SELECT *, abs(y_true - y_pred) AS abs_err, abs(y_true - y_pred) / greatest(y_true, 1.0) AS ape FROM p)"

@@ -3,9 +3,9 @@
 Rules shared by the whole package:
 
 * a table is broadcast only after its size was counted, or when it is a literal of this repository;
-* statistics that Spark keeps whole in one task (exact percentiles, unpartitioned windows) switch to a
-  distributed method once the counted group size passes a limit;
-* lineage is cut only through reliable checkpoints, so a lost executor costs a re-read.
+* statistics that Spark keeps whole in one task (exact percentiles, unpartitioned windows) take a distributed method,
+  the same one at every size;
+* lineage is cut only through files in the shared checkpoint folder, so a lost executor costs a re-read.
 """
 
 from __future__ import annotations
@@ -16,11 +16,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 << 20
-EXACT_GROUP_ROWS = 1_000_000
-SALTS = 32
 HOT_SHARE = 0.01
 
 
@@ -43,9 +42,20 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` once in the shared checkpoint folder and cut its lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` once in the shared folder and cut its lineage.
+
+    As parquet: a reliable checkpoint would compute the plan twice, once to run it and once to write it.
+    """
+    return stage(df, "settled")
+
+
+def release(spark: SparkSession) -> None:
+    """Delete what this application has stored next to its checkpoints; results that still read it become unusable."""
+    folder = spark.sparkContext.getCheckpointDir()
+    if folder is not None:
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -67,14 +77,18 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE, sample: float = 0.02) -> DataFrame | None:
-    """Keys that hold more than about ``share`` of the rows, at most ``1 / share`` of them; None if there are none.
+    """Keys that hold more than about ``share`` of the rows, at most ``1 / share`` of them, with the number of ``__salts``
+    that deals a key into parts of about half a mean partition; None if there are none.
 
     Found on a sample: a key that is missed or added changes how work is spread, never a result.
     """
+    spark = df.sparkSession
     seen = df.select(*keys).sample(sample, 17).groupBy(*keys).count()
     total = seen.agg(F.sum("count")).first()[0] or 0
-    found = seen.where(F.col("count") > max(share * total, 10)).drop("count").collect()
-    return df.sparkSession.createDataFrame(found, df.select(*keys).schema) if found else None
+    parts = F.ceil(2 * F.col("count") / max(total, 1) * int(spark.conf.get("spark.sql.shuffle.partitions"))) + 1
+    found = seen.where(F.col("count") > max(share * total, 10)).select(*keys, parts.cast("int").alias("__salts")).collect()
+    schema = T.StructType([*df.select(*keys).schema.fields, T.StructField("__salts", T.IntegerType())])
+    return spark.createDataFrame(found, schema) if found else None
 
 
 def lookup_join(
@@ -84,13 +98,12 @@ def lookup_join(
     how: str = "left",
     null_safe: bool = False,
     max_rows: int | None = None,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Join a large ``left`` to per-key ``right`` rows without letting a hot key pile up in one task.
 
     ``right`` is settled and measured first. Up to ``max_rows`` rows (and a byte limit) it is broadcast and ``left`` is not
     shuffled at all; beyond that the rows of hot keys are salted on the left and copied on the right, so a
-    key that holds a third of ``left`` spreads over ``salts`` tasks.
+    key that holds a third of ``left`` spreads over as many tasks as its share asks for.
     """
     max_rows = BROADCAST_ROWS if max_rows is None else max_rows
     on = list(on)
@@ -109,11 +122,12 @@ def lookup_join(
         return left.join(F.broadcast(lookup), matches(left, other), how).drop(*other.values())
     hot = hot_keys(left, on)
     if hot is None:
-        lookup = small.withColumnsRenamed(other)
+        # the hint keeps the planner from broadcasting by an estimate what was counted as too large
+        lookup = small.withColumnsRenamed(other).hint("merge")
         return left.join(lookup, matches(left, other), how).drop(*other.values())
 
     # at most 1 / HOT_SHARE hot keys, so marking them is a broadcast join
-    marks = F.broadcast(hot.withColumnsRenamed({c: f"__h_{c}" for c in on}).withColumn("__hot", F.lit(True)))
+    marks = F.broadcast(hot.withColumnsRenamed({c: f"__h_{c}" for c in on}))
     mark_names = {c: f"__h_{c}" for c in on}
 
     def marked(df: DataFrame) -> DataFrame:
@@ -121,10 +135,11 @@ def lookup_join(
         return df.join(marks, matches(df, mark_names, nulls=True), "left").drop(*mark_names.values())
 
     hashable = [F.col(f"`{c}`") for c, t in left.dtypes if "map<" not in t]
-    spread = F.when(F.col("__hot"), F.pmod(F.xxhash64(*hashable), F.lit(salts)).cast("int")).otherwise(0)
-    salted = marked(left).withColumn("__salt", spread).drop("__hot")
-    every = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    copies = marked(small).withColumn("__r_salt", F.explode(every)).drop("__hot").withColumnsRenamed(other)
+    hot_key = F.col("__salts").isNotNull()
+    spread = F.when(hot_key, F.pmod(F.xxhash64(*hashable), F.col("__salts")).cast("int")).otherwise(0)
+    salted = marked(left).withColumn("__salt", spread).drop("__salts")
+    every = F.when(hot_key, F.sequence(F.lit(0), F.col("__salts") - 1)).otherwise(F.array(F.lit(0)))
+    copies = marked(small).withColumn("__r_salt", F.explode(every)).drop("__salts").withColumnsRenamed(other).hint("merge")
     cond = matches(salted, other) & (F.col("__salt") == F.col("__r_salt"))
     return salted.join(copies, cond, how).drop("__salt", "__r_salt", *other.values())
 
@@ -166,63 +181,22 @@ def dense_index(df: DataFrame, order: Sequence[str], out: str) -> DataFrame:
     return numbered.withColumn(out, F.col(out) - 1).drop("__one")
 
 
-def quantiles(
-    df: DataFrame,
-    cols: Sequence[str],
-    probs: Sequence[float],
-    by: Sequence[str] = (),
-    group_rows: int | None = None,
-) -> DataFrame:
+def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
     """Exact linear-interpolation quantiles: one row per group, each column an array in ``probs`` order.
 
-    NULL group keys form a group. Spark's exact ``percentile`` keeps every distinct value of a group in one
-    task, so it is used only while the largest group is within ``group_rows``; larger groups go through
-    :func:`_selected_quantiles`, which never gathers a group.
-    """
-    group_rows = EXACT_GROUP_ROWS if group_rows is None else group_rows
-    by = list(by)
-    slim = df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols])
-    largest = slim.count()
-    if by and largest > group_rows:
-        largest = slim.groupBy(*by).count().agg(F.max("count")).first()[0]
-    if largest <= group_rows:
-        points = F.array(*[F.lit(float(p)) for p in probs])
-        return slim.groupBy(*by).agg(*[F.percentile(c, points).alias(c) for c in cols])
-    return _selected_quantiles(slim, list(cols), [float(p) for p in probs], by, group_rows)
-
-
-def quantile_values(
-    df: DataFrame, cols: Sequence[str], probs: Sequence[float], group_rows: int | None = None
-) -> dict[str, list[float | None]]:
-    """Ungrouped quantiles as driver scalars (a single row of ``len(cols) * len(probs)`` numbers)."""
-    row = quantiles(df, cols, probs, group_rows=group_rows).first()
-    return {c: list(row[c]) if row is not None and row[c] is not None else [None] * len(probs) for c in cols}
+    NULL group keys form a group; a group or column without values gives NULL. One path for every size:
 
+    1. a mergeable sketch brackets the wanted ranks of every (group, column);
+    2. rows below each bracket are counted, values inside are kept with their counts (a thousandth of a large group),
+       and a running count over them finds the value of each rank.
 
-def medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:
-    return {c: v[0] for c, v in quantile_values(df, cols, [0.5]).items()}
-
-
-def group_medians(df: DataFrame, cols: dict[str, str], by: Sequence[str]) -> DataFrame:
-    """Per-group exact medians; ``cols`` maps output name to input column."""
-    found = quantiles(df.select(*by, *[F.col(c).alias(out) for out, c in cols.items()]), list(cols), [0.5], by)
-    return found.withColumns({out: F.col(out)[0] for out in cols})
-
-
-def _selected_quantiles(
-    slim: DataFrame, cols: list[str], probs: list[float], by: list[str], group_rows: int
-) -> DataFrame:
-    """Exact quantiles by bracketing.
-
-    1. one pass: a mergeable sketch brackets the wanted ranks of every (group, column);
-    2. one pass: rows below each bracket are counted, rows inside are kept as value counts (a tiny share);
-    3. brackets still holding many values are halved into value bins until each is small.
-    The counts of step 2 prove that the rank lies inside its bracket; if not, the bracket is widened.
+    The counts prove that a rank lies inside its bracket; if one does not, the brackets are widened, at last to the whole range.
     """
+    by, cols, probs = list(by), list(cols), [float(p) for p in probs]
     keys = [*by, "__col"]
-    long = slim.select(
+    long = df.select(
         *by,
-        F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).alias("v")) for c in cols])).alias("__e"),
+        F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in cols])).alias("__e"),
     ).select(*by, F.col("__e.c").alias("__col"), F.col("__e.v").alias("__v"))
 
     # a wanted quantile is the mix of the values at two neighbouring ranks
@@ -237,91 +211,58 @@ def _selected_quantiles(
             F.percentile_approx("__v", F.array(*[F.lit(m) for m in marks]), F.lit(10_000)).alias("__q"),
         )
         brackets = []
-        for t, (i, p, side) in enumerate(targets):
+        for t, (_, p, side) in enumerate(targets):
             h = F.lit(p) * (F.col("__n") - 1)
             rank = F.floor(h) if side == 0 else F.ceil(h)
             low = F.col("__min") if p - slack <= 0 else F.col("__q")[2 * t]
             high = F.col("__max") if p + slack >= 1 else F.col("__q")[2 * t + 1]
-            brackets.append(
-                F.struct(
-                    F.lit(t).alias("t"), rank.cast("long").alias("rank"), low.alias("lo"), high.alias("hi")
-                )
-            )
+            parts = (F.lit(t).alias("t"), rank.cast("long").alias("rank"), low.alias("lo"), high.alias("hi"))
+            brackets.append(F.struct(*parts))
         sketch = settle(sketch.select(*keys, "__n", F.array(*brackets).alias("__b")))
-        tagged = lookup_join(long, sketch.select(*keys, "__b"), keys, how="inner", null_safe=True)
+        wanted = sketch.where("__n > 0").select(*keys, "__b")
+        tagged = lookup_join(long.where("__v is not null"), wanted, keys, how="inner", null_safe=True)
+        # a value below the bracket is counted under NULL, which comes first in the running count
         cells = (
             tagged.select(*keys, "__v", F.explode(F.filter("__b", lambda b: F.col("__v") <= b["hi"])).alias("b"))
-            .select(*keys, F.col("b.t").alias("__t"), F.when(F.col("__v") >= F.col("b.lo"), F.col("__v")).alias("__v"))
-            .groupBy(*keys, "__t", "__v")
+            .select(*keys, "b.t", "b.rank", F.when(F.col("__v") >= F.col("b.lo"), F.col("__v")).alias("__v"))
+            .groupBy(*keys, "t", "rank", "__v")
             .agg(F.count(F.lit(1)).alias("__c"))
         )
-        cells = settle(cells)
-        state = settle(
-            sketch.where("__n > 0").select(*keys, F.explode("__b").alias("b")).select(
-                *keys, F.col("b.t").alias("__t"), F.col("b.rank").alias("__rank")
+        upto = Window.partitionBy(*keys, "t").orderBy(F.asc_nulls_first("__v")).rowsBetween(Window.unboundedPreceding, 0)
+        reached = cells.withColumn("__upto", F.sum("__c").over(upto)).where(F.col("__upto") > F.col("rank"))
+        first = reached.groupBy(*keys, "t").agg(F.min_by("__v", "__upto").alias("__v"))
+        by_rank = settle(
+            first.groupBy(*keys).agg(
+                *[F.max(F.when(F.col("t") == t, F.col("__v"))).alias(f"__v{t}") for t in range(len(targets))],
+                F.count("__v").alias("__found"),
             )
         )
-        summary = cells.groupBy(*keys, "__t").agg(
-            F.coalesce(F.sum(F.when(F.col("__v").isNull(), F.col("__c"))), F.lit(0)).alias("__below"),
-            F.coalesce(F.sum(F.when(F.col("__v").isNotNull(), F.col("__c"))), F.lit(0)).alias("__inside"),
-            F.count("__v").alias("__distinct"),
-            F.min("__v").alias("__lo"),
-            F.max("__v").alias("__hi"),
-        )
-        state = settle(lookup_join(state, summary, [*keys, "__t"], how="left", null_safe=True))
-        ok = (F.col("__rank") >= F.col("__below")) & (F.col("__rank") < F.col("__below") + F.col("__inside"))
-        if state.where(~F.coalesce(ok, F.lit(False))).limit(1).count() == 0:
+        # a rank below or above its bracket has no value yet
+        missing = wanted.count() * len(targets) - (by_rank.agg(F.sum("__found")).first()[0] or 0)
+        if missing == 0 or slack >= 1:
             break
-        slack = min(1.0, slack * 16)
-    cells = cells.where(F.col("__v").isNotNull())
-
-    # halve wide brackets by equal-width value bins; each round divides a bracket's width by the bin count
-    bins = 1024
-    while state.agg(F.max("__distinct")).first()[0] > group_rows:
-        wide = state.select(*keys, "__t", "__rank", "__below", "__lo", "__hi")
-        placed = lookup_join(cells, wide, [*keys, "__t"], how="inner", null_safe=True)
-        share = (F.col("__v") - F.col("__lo")) / F.when(F.col("__hi") > F.col("__lo"), F.col("__hi") - F.col("__lo")).otherwise(1.0)
-        placed = settle(placed.withColumn("__bin", F.least(F.floor(share * bins), F.lit(bins - 1)).cast("int")))
-        per_bin = placed.groupBy(*keys, "__t", "__rank", "__below", "__bin").agg(F.sum("__c").alias("__c"))
-        # at most `bins` rows per bracket enter this window
-        earlier = Window.partitionBy(*keys, "__t").orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)
-        hit = (
-            per_bin.withColumn("__below", F.col("__below") + F.coalesce(F.sum("__c").over(earlier), F.lit(0)))
-            .where((F.col("__rank") >= F.col("__below")) & (F.col("__rank") < F.col("__below") + F.col("__c")))
-            .select(*keys, "__t", "__bin", F.col("__below").alias("__new_below"))
-        )
-        kept = lookup_join(placed, hit, [*keys, "__t", "__bin"], how="inner", null_safe=True)
-        cells = settle(kept.select(*keys, "__t", "__rank", F.col("__new_below").alias("__below"), "__v", "__c"))
-        state = settle(
-            cells.groupBy(*keys, "__t", "__rank", "__below").agg(
-                F.count("__v").alias("__distinct"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi")
-            )
-        )
-        cells = cells.drop("__rank", "__below")
-
-    picked = lookup_join(
-        cells.select(*keys, "__t", "__v", "__c"),
-        state.select(*keys, "__t", "__rank", "__below"),
-        [*keys, "__t"],
-        how="inner",
-        null_safe=True,
-    )
-    upto = Window.partitionBy(*keys, "__t").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
-    chosen = (
-        picked.withColumn("__upto", F.col("__below") + F.sum("__c").over(upto))
-        .where(F.col("__upto") > F.col("__rank"))
-        .groupBy(*keys, "__t")
-        .agg(F.min("__v").alias("__v"))
-    )
-    at = {(i, side): t for t, (i, _, side) in enumerate(targets)}
-    by_rank = chosen.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("__t") == t, F.col("__v"))).alias(f"__v{t}") for t in at.values()]
-    )
-    wide = lookup_join(sketch.select(*keys, "__n"), by_rank, keys, how="left", null_safe=True)
+        slack *= 16
+    wide = lookup_join(sketch.select(*keys, "__n"), by_rank.drop("__found"), keys, how="left", null_safe=True)
     mixed = []
     for i, p in enumerate(probs):
         h = F.lit(p) * (F.col("__n") - 1)
-        lo, hi = F.col(f"__v{at[(i, 0)]}"), F.col(f"__v{at[(i, 1)]}")
+        lo, hi = F.col(f"__v{2 * i}"), F.col(f"__v{2 * i + 1}")
         mixed.append(F.when(lo == hi, lo).otherwise((F.ceil(h) - h) * lo + (h - F.floor(h)) * hi))
     per_col = wide.select(*keys, F.when(F.col("__n") > 0, F.array(*mixed)).alias("__out"))
     return per_col.groupBy(*by).agg(*[F.max(F.when(F.col("__col") == c, F.col("__out"))).alias(c) for c in cols])
+
+
+def quantile_values(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[str, list[float | None]]:
+    """Ungrouped quantiles as driver scalars (a single row of ``len(cols) * len(probs)`` numbers)."""
+    row = quantiles(df, cols, probs).first()
+    return {c: list(row[c]) if row is not None and row[c] is not None else [None] * len(probs) for c in cols}
+
+
+def medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:
+    return {c: v[0] for c, v in quantile_values(df, cols, [0.5]).items()}
+
+
+def group_medians(df: DataFrame, cols: dict[str, str], by: Sequence[str]) -> DataFrame:
+    """Per-group exact medians; ``cols`` maps output name to input column."""
+    found = quantiles(df.select(*by, *[F.col(c).alias(out) for out, c in cols.items()]), list(cols), [0.5], by)
+    return found.withColumns({out: F.col(out)[0] for out in cols})

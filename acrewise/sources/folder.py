@@ -20,13 +20,13 @@ log = logging.getLogger(__name__)
 
 # Files the job itself writes into the folder.
 OUTPUT_NAMES = {"texas_houston_raw.csv", "texas_houston_scraped.csv", "usa_real_estate.csv"}
-_PEEK_BYTES = 1 << 20
+_PEEK_BYTES = 1 << 16
 _ORDER = ("__file", "__block", "__row")
 
 
-def read_csv(spark: SparkSession, paths: str | list[str], schema: T.StructType | str, sep: str = ",") -> DataFrame:
-    """Header CSV with a declared schema; no inference pass over the data."""
-    return spark.read.schema(schema).option("header", True).option("sep", sep).option("escape", '"').csv(paths)
+def read_csv(spark: SparkSession, paths: str | list[str], schema: T.StructType | str, sep: str = ",", multi_line: bool = True) -> DataFrame:
+    """Header CSV with a declared schema; no inference pass over the data. ``multi_line=False`` reads parts of large files in parallel."""
+    return spark.read.schema(schema).option("header", True).option("sep", sep).option("escape", '"').option("multiLine", multi_line).csv(paths)
 
 
 def is_skipped(name: str) -> bool:
@@ -36,6 +36,14 @@ def is_skipped(name: str) -> bool:
     return name in OUTPUT_NAMES or low.startswith("metro_") or "zhvi" in low or bool(re.search(r" \(\d+\)$", stem))
 
 
+def _first_line(stream) -> str:
+    """The first line of a file however long it is; the rest is not read."""
+    held = b""
+    while b"\n" not in held and (more := stream.read(_PEEK_BYTES)):
+        held += more
+    return held.decode("utf-8", "ignore").splitlines()[0]
+
+
 def _peek(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     from pyarrow import fs
 
@@ -45,24 +53,28 @@ def _peek(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             try:
                 files, inner = fs.FileSystem.from_uri(quote(path, safe="/:"))
                 with files.open_input_stream(inner) as stream:
-                    lines.append(stream.read(_PEEK_BYTES).decode("utf-8", "ignore").splitlines()[0])
+                    lines.append(_first_line(stream))
             except (OSError, ValueError, IndexError):
                 lines.append(None)
-        yield pd.DataFrame({"path": batch["path"], "first_line": lines})
+        names = batch["path"].str.rsplit("/", n=1).str[-1]
+        families = [",".join(families_of(line)) if line else None for line in lines]
+        yield pd.DataFrame({"path": batch["path"], "name": names, "skipped": names.map(is_skipped), "first_line": lines, "families": families})
 
 
-def list_exports(spark: SparkSession, path: str) -> list[tuple[str, str]]:
-    """(path, first line) of each usable CSV file of the folder, in name order; file bodies are not read."""
+def sniff_exports(spark: SparkSession, path: str) -> DataFrame:
+    """path, name, skipped, first_line and families of each CSV file of the folder, found in the tasks; bodies are not read."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path).select("path")
-    peeked = files.mapInPandas(_peek, "path string, first_line string").collect()
+    return files.mapInPandas(_peek, "path string, name string, skipped boolean, first_line string, families string")
+
+
+def list_exports(spark: SparkSession, path: str) -> list[tuple[str, str]]:
+    """(path, first line) of each usable CSV file of the folder, in name order: the paths that a read must name."""
     found = []
-    for name, file, line in sorted((r["path"].rsplit("/", 1)[-1], r["path"], r["first_line"] or "") for r in peeked):
-        if is_skipped(name):
-            continue
-        if line:
-            found.append((file, line))
+    for r in sniff_exports(spark, path).where("not skipped").orderBy("name", "path").collect():
+        if r["first_line"]:
+            found.append((r["path"], r["first_line"]))
         else:
-            log.warning("skipping unreadable or empty file %s", name)
+            log.warning("skipping unreadable or empty file %s", r["name"])
     return found
 
 
@@ -84,12 +96,12 @@ def families_of(first_line: str) -> list[str]:
 _ADAPTERS = {"blob": from_blob, "semicolon": from_semicolon, "wide": from_wide, "export": from_listing_export}
 
 
-def _read_family(spark: SparkSession, paths: list[str], first_line: str, family: str) -> DataFrame:
+def _read_family(spark: SparkSession, paths: list[str], first_line: str, family: str, multi_line: bool) -> DataFrame:
     """All files sharing one header, read as text columns in one scan, through the family's adapter."""
     sep = ";" if family == "semicolon" else ","
     header = next(csv.reader([first_line.lstrip("﻿")], delimiter=sep))
     schema = T.StructType([T.StructField(c, T.StringType()) for c in _unique(header)])
-    reader = spark.read.schema(schema).option("header", True).option("sep", sep).option("escape", '"')
+    reader = spark.read.schema(schema).option("header", True).option("sep", sep).option("escape", '"').option("multiLine", multi_line)
     raw = reader.option("mode", "DROPMALFORMED" if family == "semicolon" else "PERMISSIVE").csv(paths)
     raw = raw.select(
         "*",
@@ -110,10 +122,11 @@ def _unique(header: list[str]) -> list[str]:
     return out
 
 
-def ingest_folder(spark: SparkSession, path: str) -> DataFrame:
+def ingest_folder(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Every listing export of the folder in canonical columns, stamped ``real_raw``.
 
-    Files with the same header share one scan. ``ingest_seq`` orders rows by file name and position.
+    Files with the same header share one scan. ``ingest_seq`` orders rows by file name and position. Quoted cells may
+    hold line breaks; ``multi_line=False`` is for files known to have none, whose parts may then be read in parallel.
     """
     groups: dict[str, list[str]] = {}
     for file, line in list_exports(spark, path):
@@ -122,12 +135,12 @@ def ingest_folder(spark: SparkSession, path: str) -> DataFrame:
     for line, files in groups.items():
         options = families_of(line)
         if len(options) == 1:
-            parts.append(_read_family(spark, files, line, options[0]))
+            parts.append(_read_family(spark, files, line, options[0], multi_line))
             continue
         # several layouts are possible: per file, the first one that yields a row
         for file in files:
             for family in options:
-                part = _read_family(spark, [file], line, family)
+                part = _read_family(spark, [file], line, family, multi_line)
                 if set(_ORDER) <= set(part.columns) and not part.isEmpty():
                     parts.append(part)
                     break

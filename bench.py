@@ -7,6 +7,7 @@ import os
 import time
 
 from acrewise.queries import QUERIES
+from acrewise.scale import release
 from acrewise.session import build_session
 
 HEADLINE = [
@@ -37,6 +38,7 @@ def main() -> None:
         # the noop sink computes every column, which a count would not
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 3)
+        release(spark)
     spark.stop()
     total = round(sum(seconds.values()), 3)
     scale = sf_dir.rstrip("/").rsplit("sf", 1)[-1]

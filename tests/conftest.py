@@ -11,10 +11,12 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
+    from acrewise.scale import release
     from acrewise.session import build_session
 
     session = build_session("local[8]", 4, "tests")
     yield session
+    release(session)
     session.stop()
 
 

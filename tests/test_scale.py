@@ -10,26 +10,36 @@ def rows_of(df):
     return sorted(map(str, df.collect()))
 
 
+PROBS = [0.0, 0.01, 0.25, 0.5, 0.9, 1.0]
+
+
 @pytest.mark.parametrize("by", [[], ["location"], ["location", "property_type"]])
-def test_bracketed_quantiles_equal_builtin(listings, by):
-    probs = [0.0, 0.01, 0.25, 0.5, 0.9, 1.0]
-    simple = sc.quantiles(listings, ["price", "bedrooms"], probs, by)
-    selected = sc.quantiles(listings, ["price", "bedrooms"], probs, by, group_rows=3)
-    assert rows_of(simple) == rows_of(selected)
+def test_quantiles_equal_builtin(listings, by):
+    points = F.array(*[F.lit(p) for p in PROBS])
+    simple = listings.groupBy(*by).agg(*[F.percentile(F.col(c).cast("double"), points).alias(c) for c in ("price", "bedrooms")])
+    assert rows_of(sc.quantiles(listings, ["price", "bedrooms"], PROBS, by)) == rows_of(simple)
 
 
 def test_quantiles_of_empty_and_missing_groups(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", None)], "k string, v double")
-    for limit in (100, 0):
-        got = {r["k"]: r["v"] for r in sc.quantiles(df, ["v"], [0.5], ["k"], group_rows=limit).collect()}
-        assert got == {"a": [2.0], "b": None}
+    got = {r["k"]: r["v"] for r in sc.quantiles(df, ["v"], [0.5], ["k"]).collect()}
+    assert got == {"a": [2.0], "b": None}
     assert sc.quantile_values(df.limit(0), ["v"], [0.5]) == {"v": [None]}
+    assert sc.quantile_values(df.withColumn("none", F.lit(None)), ["none", "v"], [0.5]) == {"none": [None], "v": [2.0]}
+
+
+def test_quantiles_of_uneven_and_infinite_values(spark):
+    values = [float("-inf"), -1e300, 0.0, 1e-300, 5.0, 5.0, 7.0, 1e300, float("inf")]
+    df = spark.createDataFrame([(v, 3.0) for v in values], "v double, same double")
+    got = sc.quantile_values(df, ["v", "same"], [0.0, 0.5, 0.75, 1.0])
+    assert got == {"v": [values[0], values[4], values[6], values[8]], "same": [3.0] * 4}
 
 
 def test_quantiles_with_one_value_holding_most_rows(spark):
-    df = spark.range(4000).select(F.when(F.col("id") % 3 == 0, 7.0).otherwise(F.col("id") * 1.5).alias("v"))
+    df = spark.range(40_000).select(F.when(F.col("id") % 3 == 0, 7.0).otherwise(F.col("id") * 1.5).alias("v"))
     probs = [0.1, 0.33, 0.5, 0.77]
-    assert sc.quantile_values(df, ["v"], probs) == sc.quantile_values(df, ["v"], probs, group_rows=5)
+    want = df.agg(F.percentile("v", F.array(*[F.lit(p) for p in probs]))).first()[0]
+    assert sc.quantile_values(df, ["v"], probs) == {"v": pytest.approx(want)}
 
 
 def test_running_sum_in_order_and_by_group(spark):

@@ -47,6 +47,14 @@ def test_ingest_folder_families(spark, exports):
     assert {r["data_tier"] for r in rows.values()} == {"real_raw"}
 
 
+def test_line_breaks_in_quoted_cells_stay_in_their_record(spark, tmp_path):
+    (tmp_path / "w.csv").write_text('note,price,detailUrl\n"line one\n7,https://false/1,x",90000,https://t/1\nplain,80000,https://t/2\n')
+    (tmp_path / "long.csv").write_text("price,detailUrl," + ",".join(f"c{i:06d}" for i in range(30_000)) + "\n50000,https://t/3\n")
+    rows = {r["listing_url"]: r["price"] for r in fd.ingest_folder(spark, str(tmp_path / "w.csv")).collect()}
+    assert rows == {"https://t/1": 90000.0, "https://t/2": 80000.0}
+    assert len(fd.list_exports(spark, str(tmp_path))[0][1]) > 200_000
+
+
 def test_collect_is_repeatable_and_reaches_the_target(spark, exports):
     rows = lp.collect(spark, exports, target_rows=40)
     assert rows.columns == sc.LISTING_COLUMNS
