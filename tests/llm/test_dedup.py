@@ -6,8 +6,8 @@ import re
 
 import pytest
 import xxhash
+from cases import PASSAGE
 from check_oracle import compare
-from conftest import PASSAGE  # noqa: F401  (the passage that two documents share)
 
 from acrewise.llm import exact_dedup, line_dedup, simhash
 from acrewise.llm.queries import ORACLES, QUERIES
