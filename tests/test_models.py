@@ -111,10 +111,12 @@ def test_training_and_scoring(features):
     assert scored.where("predicted_price > 0").count() == features.count()
 
 
-def test_failing_model_is_left_out(features):
+def test_failing_model_keeps_its_row_with_the_reason(features):
     models = {"ols": md.linear(), "broken": md.forest(2, 2).setParams(featuresCol="absent")}
     table, fitted = md.compare_models(features, folds=2, features=["sqft", "bedrooms", "lot_size", "year_built"], models=models)
-    assert [r["model"] for r in table.collect()] == ["ols"] and list(fitted) == ["ols"]
+    ols, broken = table.collect()
+    assert (ols["model"], ols["reason"], list(fitted)) == ("ols", None, ["ols"])
+    assert broken["model"] == "broken" and broken["test_r2"] is None and "absent" in broken["reason"]
 
 
 def test_out_of_fold_encoding_ignores_own_row(spark):
