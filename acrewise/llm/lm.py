@@ -6,8 +6,8 @@
 * Score: every segmentation of a word (behind its word mark) into pieces counts. A forward recursion in log space
   sums them, characters outside the vocabulary go through the byte pieces. A text scores the sum over its words plus its end.
 * Corpus statistics are distributed: word counts are combined in the tasks, then by word; the lattice runs once
-  for each distinct word. Documents look up frequent words in a broadcast table (a word is in it if it makes up at least
-  1/HEAD of all words, so there are at most HEAD) and join the others by word, where no word can be hot.
+  for each distinct word. Documents look up the most frequent words, at most HEAD, in a broadcast table and join the
+  others by word, where no word can be hot.
 
 Training texts are those whose crc32 of the id (as text; null: empty) mod 7 is not 2. Null text counts as empty: its end
 is its only token. Repeated rows are trained on and scored as often as they occur. Extra columns are ignored; an
@@ -19,11 +19,12 @@ from __future__ import annotations
 import math
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acrewise.llm.common import slim
+from acrewise.llm.common import most_frequent, slim
 from acrewise.scale import stage
 
 HEAD = 1 << 17
@@ -32,7 +33,9 @@ HEAD_CHARS = 64
 FOLDS, HELD_FOLD = 7, 2
 #: rounds of expectation maximisation
 ROUNDS = 2
-_FLUSH = 300_000
+_FLUSH = 150_000
+_OUT_ROWS = 50_000
+_CELLS = 1 << 18
 _MARK = "▁"
 
 
@@ -52,62 +55,119 @@ def load_pieces(path: str) -> dict:
 
 
 class Lattice:
-    """Natural-log weights of pieces and the recursions over the segmentations of one word."""
+    """Natural-log weights of pieces, and the recursions over all segmentations for many words of one length at a time.
+
+    The pieces form a trie in sorted arrays. An edge joins the places before and behind a piece; a character that is no
+    piece of its own has an edge for its bytes (piece -1). Within one (start, length) a word has one edge at most, so each
+    step of a recursion is one vector operation over the words.
+    """
 
     def __init__(self, weights: dict[str, float], of_bytes: list[str]):
-        self.weights, self.of_bytes = weights, of_bytes
-        self.prefixes = {p[:k] for p in weights for k in range(1, len(p))}
-
-    def edges(self, word: str) -> list[list[tuple[int, float, str | None]]]:
-        """From each position: (end, weight, piece); piece None stands for the bytes of one character."""
-        out, weights, prefixes, n = [], self.weights, self.prefixes, len(word)
-        for i in range(n):
-            mine, j = [], i + 1
-            while True:
-                part = word[i:j]
-                w = weights.get(part)
-                if w is not None:
-                    mine.append((j, w, part))
-                elif j == i + 1:
-                    mine.append((j, sum(weights[self.of_bytes[b]] for b in part.encode()), None))
-                if j == n or part not in prefixes:
-                    break
-                j += 1
-            out.append(mine)
+        self.names = list(weights)
+        self.weights = np.array(list(weights.values()))
+        index = {p: i for i, p in enumerate(self.names)}
+        self.byte_piece = np.array([index[p] for p in of_bytes])
+        nodes: dict[str, int] = {"": 0}
+        steps: dict[int, int] = {}
+        for piece in weights:
+            for k in range(1, len(piece) + 1):
+                if piece[:k] not in nodes:
+                    nodes[piece[:k]] = len(nodes)
+                    steps[nodes[piece[: k - 1]] << 21 | ord(piece[k - 1])] = nodes[piece[:k]]
+        self.keys = np.array(sorted(steps))
+        self.to = np.array([steps[k] for k in self.keys.tolist()])
+        self.piece_of = np.full(len(nodes), -1)
+        for piece, i in index.items():
+            if i not in self.byte_piece:
+                self.piece_of[nodes[piece]] = i
+
+    def _edges(self, codes: np.ndarray) -> list[list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+        """By start, then length from 1: rows, weights and pieces."""
+        rows, n = codes.shape
+        row, start = (x.ravel() for x in np.indices(codes.shape))
+        node, out, length = np.zeros(rows * n, np.int64), [[] for _ in range(n)], 0
+        while len(row):
+            key = node << 21 | codes[row, start + length]
+            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            alive = self.keys[at] == key
+            length += 1
+            if length == 1:
+                lone = np.ones(rows * n, bool)
+                lone[alive] = self.piece_of[self.to[at[alive]]] < 0
+                bytes_row, bytes_start = row[lone], start[lone]
+            row, start, node = row[alive], start[alive], self.to[at[alive]]
+            piece = self.piece_of[node]
+            hit = piece >= 0
+            parts = [(row[hit], start[hit], self.weights[piece[hit]], piece[hit])]
+            if length == 1:
+                chars, back = np.unique(codes[bytes_row, bytes_start], return_inverse=True)
+                of = np.array([self.weights[self._bytes(c)].sum() for c in chars.tolist()])
+                parts.append((bytes_row, bytes_start, of[back] if len(chars) else np.zeros(0), np.full(len(bytes_row), -1)))
+            r, s, w, p = (np.concatenate(x) for x in zip(*parts, strict=True))
+            order = np.argsort(s, kind="stable")
+            cuts = np.searchsorted(s[order], np.arange(n + 1))
+            for i in range(n):
+                mine = order[cuts[i] : cuts[i + 1]]
+                out[i].append((r[mine], w[mine], p[mine]))
+            more = start + length < n
+            row, start, node = row[more], start[more], node[more]
         return out
 
-    def forward(self, edges) -> list[float]:
-        alpha: list[float | None] = [None] * (len(edges) + 1)
-        alpha[0] = 0.0
+    def _bytes(self, code: int) -> np.ndarray:
+        return self.byte_piece[list(chr(code).encode("utf-8", "surrogatepass"))]
+
+    @staticmethod
+    def _forward(edges, rows: int) -> np.ndarray:
+        alpha = np.full((rows, len(edges) + 1), -np.inf)
+        alpha[:, 0] = 0.0
         for i, mine in enumerate(edges):
-            here = alpha[i]
-            for j, w, _ in mine:
-                x, y = here + w, alpha[j]
-                if y is None:
-                    alpha[j] = x
-                else:
-                    alpha[j] = x + math.log1p(math.exp(y - x)) if x > y else y + math.log1p(math.exp(x - y))
+            for k, (r, w, _) in enumerate(mine, i + 1):
+                if not len(r):
+                    continue
+                alpha[r, k] = np.logaddexp(alpha[r, k], alpha[r, i] + w)
         return alpha
 
-    def score(self, word: str) -> float:
-        """Natural log of the marginal probability of the word."""
-        return self.forward(self.edges(_MARK + word))[-1]
-
-    def expect(self, word: str, times: float, into: dict[str, float]) -> None:
-        """Add the expected piece counts of ``times`` occurrences."""
-        marked = _MARK + word
-        edges = self.edges(marked)
-        alpha = self.forward(edges)
-        total, n = alpha[-1], len(edges)
-        beta = [0.0] * (n + 1)
-        for i in range(n - 1, -1, -1):
-            terms = [w + beta[j] for j, w, _ in edges[i]]
-            top = max(terms)
-            beta[i] = top + math.log(sum(math.exp(t - top) for t in terms)) if len(terms) > 1 else top
-            for (_, _, piece), t in zip(edges[i], terms, strict=True):
-                share = math.exp(alpha[i] + t - total) * times
-                for p in [piece] if piece is not None else [self.of_bytes[b] for b in marked[i].encode()]:
-                    into[p] = into.get(p, 0.0) + share
+    @staticmethod
+    def _by_length(words: list[str]):
+        """For each length of a marked word: the numbers of the words, and their characters."""
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        for size in np.unique(sizes).tolist():
+            at = np.flatnonzero(sizes == size)
+            # the characters of one call are bounded, also for long words
+            for part in np.array_split(at, -(-len(at) * (size + 1) // _CELLS)):
+                text = "".join(_MARK + words[i] for i in part)
+                yield part, np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64).reshape(len(part), size + 1)
+
+    def scores(self, words: list[str]) -> np.ndarray:
+        """Natural log of the marginal probability of each word."""
+        out = np.zeros(len(words))
+        for at, codes in self._by_length(words):
+            out[at] = self._forward(self._edges(codes), len(at))[:, -1]
+        return out
+
+    def expected(self, words: list[str], times: np.ndarray) -> np.ndarray:
+        """Expected number of each piece when each word occurs ``times`` times."""
+        found = np.zeros(len(self.names))
+        for at, codes in self._by_length(words):
+            edges = self._edges(codes)
+            alpha, n = self._forward(edges, len(at)), len(edges)
+            beta = np.full_like(alpha, -np.inf)
+            beta[:, n] = 0.0
+            pieces, shares = [], []
+            for i in range(n - 1, -1, -1):
+                for k, (r, w, p) in enumerate(edges[i], i + 1):
+                    if not len(r):
+                        continue
+                    beyond = w + beta[r, k]
+                    beta[r, i] = np.logaddexp(beta[r, i], beyond)
+                    share = np.exp(alpha[r, i] + beyond - alpha[r, n]) * times[at[r]]
+                    whole = p >= 0
+                    pieces.append(p[whole])
+                    shares.append(share[whole])
+                    for code, part in zip(codes[r[~whole], i].tolist(), share[~whole].tolist(), strict=True):
+                        np.add.at(found, self._bytes(code), part)
+            found += np.bincount(np.concatenate(pieces), np.concatenate(shares), len(found))
+        return found
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -163,14 +223,14 @@ def _estimated(words: DataFrame, pieces: dict, train_docs: int, rounds: int) ->
 
 def _expected(words: DataFrame, weights: dict[str, float], of_bytes: list[str]) -> DataFrame:
     """Expected counts of the pieces under ``weights``, summed in each task."""
-    shared = _broadcast(words, {"weights": weights, "bytes": of_bytes})
+    shared = _broadcast(words, (weights, of_bytes))
 
     def run(batches):
-        lattice, found = Lattice(shared.value["weights"], shared.value["bytes"]), {}
+        lattice = Lattice(*shared.value)
+        found = np.zeros(len(lattice.names))
         for b in batches:
-            for word, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                lattice.expect(word, c, found)
-        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.float64())], ["piece", "times"])
+            found += lattice.expected(b.column(0).to_pylist(), b.column(1).to_numpy())
+        yield pa.RecordBatch.from_arrays([pa.array(lattice.names, pa.string()), pa.array(found, pa.float64())], ["piece", "times"])
 
     return words.where("c > 0").select("word", "c").mapInArrow(run, "piece string, times double")
 
@@ -181,12 +241,12 @@ def _broadcast(df: DataFrame, value):
 
 def _scored(words: DataFrame, weights: dict[str, float], of_bytes: list[str]) -> DataFrame:
     """word, c, n, lm (log10 of the word's marginal probability)."""
-    shared = _broadcast(words, {"weights": weights, "bytes": of_bytes})
+    shared = _broadcast(words, (weights, of_bytes))
 
     def run(batches):
-        lattice = Lattice(shared.value["weights"], shared.value["bytes"])
+        lattice = Lattice(*shared.value)
         for b in batches:
-            lm = [lattice.score(w) / math.log(10) for w in b.column(0).to_pylist()]
+            lm = lattice.scores(b.column(0).to_pylist()) / math.log(10)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(lm, pa.float64())], ["word", "c", "n", "lm"])
 
     return words.select("word", "c", "n").mapInArrow(run, "word string, c long, n long, lm double")
@@ -197,18 +257,21 @@ def _looked_up(keyed: DataFrame, head: dict[bytes, tuple[bool, float, float]]) -
     shared = _broadcast(keyed, head)
     schema = "row long, doc_id long, held_out boolean, word string, n long, known long, base double, lm double"
 
+    kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
+    names = [x.split()[0] for x in schema.split(", ")]
+
     def run(batches):
         from pyspark import TaskContext
 
         table = shared.value
         row = TaskContext.get().partitionId() << 40  # unique once it is stored
-        for b in batches:
-            out = [[] for _ in range(8)]
+        texts, others = [], []
 
-            def add(*values, out=out):
-                for col, v in zip(out, values, strict=True):
-                    col.append(v)
+        def out():
+            rows = texts + [(r, None, None, word.decode(), n, None, None, None) for r, word, n in others]
+            return pa.RecordBatch.from_arrays([pa.array([x[i] for x in rows], k) for i, k in enumerate(kinds)], names)
 
+        for b in batches:
             for doc_id, held_out, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
                 row += 1
                 known, base, lm, tokens = 0, 0.0, 0.0, 0
@@ -216,14 +279,16 @@ def _looked_up(keyed: DataFrame, head: dict[bytes, tuple[bool, float, float]]) -
                     tokens += n
                     got = table.get(word)
                     if got is None:
-                        add(row, None, None, word.decode(), n, None, None, None)
+                        others.append((row, word, n))
                     else:
                         known += n * got[0]
                         base += n * got[1]
                         lm += n * got[2]
-                add(row, doc_id, held_out, None, tokens, known, base, lm)
-            kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], [x.split()[0] for x in schema.split(", ")])
+                texts.append((row, doc_id, held_out, None, tokens, known, base, lm))
+                if len(others) >= _OUT_ROWS:
+                    yield out()
+                    texts, others = [], []
+        yield out()
 
     return keyed.select("doc_id", "held_out", "text").mapInArrow(run, schema)
 
@@ -234,16 +299,15 @@ def scores(docs: DataFrame, pieces_path: str, id_col: str = "doc_id", text_col:
     keyed = _keyed(docs, id_col, text_col)
     words = stage(_word_counts(keyed), "word-counts")
     train_docs = keyed.where("not held_out").count()
-    sums = words.agg(F.sum("c"), F.sum("n"), F.count(F.when(F.col("c") > 0, 1))).first()
-    in_training, in_all, distinct = (x or 0 for x in sums)
+    sums = words.agg(F.sum("c"), F.count(F.when(F.col("c") > 0, 1))).first()
+    in_training, distinct = (x or 0 for x in sums)
     train_tokens = in_training + train_docs
     vocabulary = distinct + bool(train_docs)
     floor = math.log10(train_tokens + vocabulary + 1)
 
     weights, end = _estimated(words, pieces, train_docs, rounds)
     words = stage(_scored(words, weights, pieces["bytes"]), "word-scores")
-    # at least 1 / HEAD of all words each: no more than HEAD rows
-    common = (F.col("n") * HEAD >= F.lit(in_all)) & (F.length("word") <= HEAD_CHARS)
+    common = most_frequent(words, "n", HEAD) & (F.length("word") <= HEAD_CHARS)
     head = {r["word"].encode(): (r["c"] > 0, math.log10(r["c"] + 1), r["lm"]) for r in words.where(common).collect()}
     found = stage(_looked_up(keyed, head), "document-words")
 

@@ -194,11 +194,12 @@ def test_lattice_sums_all_segmentations():
     lattice = lm.Lattice(pieces | {p: math.log(0.001) for p in of_bytes}, of_bytes)
     for word in ("", "a", "ab", "ababab", "bbaab"):
         want = math.log(sum(math.exp(x) for x in segmentations("▁" + word, pieces)))
-        assert lattice.score(word) == pytest.approx(want)
-        counts = {}
-        lattice.expect(word, 2.0, counts)
+        assert lattice.scores([word])[0] == pytest.approx(want)
+        counts = dict(zip(lattice.names, lattice.expected([word], np.array([2.0])), strict=True))
         assert sum(len(p) * n for p, n in counts.items()) == pytest.approx(2.0 * (len(word) + 1))
-    assert lattice.score("é") == pytest.approx(math.log(0.1) + 2 * math.log(0.001))
+    assert lattice.scores(["é"])[0] == pytest.approx(math.log(0.1) + 2 * math.log(0.001))
+    counts = dict(zip(lattice.names, lattice.expected(["aé", "b", "é"], np.array([1.0, 1.0, 3.0])), strict=True))
+    assert counts["<195>"] == counts["<169>"] == pytest.approx(4.0) and counts["b"] == pytest.approx(1.0)
 
 
 def test_scores_equal_brute_force(clashing, empty, rows):
