@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from acrewise.scale import group_medians, lookup_join, medians, quantile_values
 
+# Earth radius and city centre of the distances.
 EARTH_RADIUS_MILES = 3958.7613
 CENTER_LAT, CENTER_LON = 29.7604, -95.3698
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Unit conversion and the area kinds as the exports write them.
 SQM_TO_SQFT = 10.7639
 AREA_KINDS = {
     "super_built_up": r"Super Built up area ",
@@ -161,6 +162,7 @@ def contains_flags(df: DataFrame, c: str, terms: list[str]) -> DataFrame:
 
 
 def age_category(c: Column | str) -> Column:
+    # fixed values: the phrases below are those of the exports
     text = _col(c)
 
     def has(*words: str) -> Column:

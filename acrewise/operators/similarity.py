@@ -13,6 +13,7 @@ from acrewise.operators.filters import top_categories
 from acrewise.operators.text_features import has_text, tfidf
 from acrewise.scale import medians
 
+# Columns of the blocks and of the results below.
 NUMERIC_BLOCK = ["bedrooms", "bathrooms", "sqft", "price_per_sqft", "luxury_score", "amenity_count"]
 CATEGORY_BLOCK = ["location", "property_type"]
 GEO_BLOCK = ["latitude", "longitude"]

@@ -14,6 +14,7 @@ from acrewise.functions.text import (
     contains_flags,
     floor_number,
     furnishing_count,
+    furnishing_terms,
     leading_int,
     parse_list,
     parse_rate,
@@ -25,7 +26,7 @@ from acrewise.functions.text import (
 from acrewise.functions.unit_values import AMENITY_WEIGHTS, ROOM_KINDS, SECTOR_ALIASES, SECTOR_ALIASES_AFTER
 from acrewise.operators.encode import cluster
 from acrewise.operators.filters import cap_domains, differs, min_frequency
-from acrewise.operators.impute import fix_small_built_up, impute_built_up, impute_mode_hierarchy
+from acrewise.operators.impute import apply_corrections, fix_small_built_up, impute_built_up, impute_mode_hierarchy
 from acrewise.operators.joins import fill_from
 from acrewise.operators.outliers import repair_rate_outliers
 from acrewise.operators.sampling import concat_tables
@@ -102,7 +103,27 @@ def treat_units(df: DataFrame) -> DataFrame:
     return impute_mode_hierarchy(rows)
 
 
-def clean_units(flats: DataFrame, houses: DataFrame, facilities: DataFrame | None = None) -> DataFrame:
-    """Both exports to the treated unit table."""
+def clean_units(
+    flats: DataFrame,
+    houses: DataFrame,
+    facilities: DataFrame | None = None,
+    corrections: DataFrame | None = None,
+    key: str = "property_id",
+    furnishing: bool = True,
+    n_init: int = 10,
+) -> DataFrame:
+    """Both exports to the treated unit table, with the furnishing level of each unit.
+
+    ``corrections`` are hand corrections as (key, column, value) rows, applied to the parsed columns before the treatment.
+    The furnishing names are the few dozen that the details use; they become columns of the clustering.
+    """
     merged = concat_tables(clean_flats(flats), clean_houses(houses))
-    return treat_units(parse_units(with_sectors(merged), facilities).drop("furnishDetails"))
+    parsed = parse_units(with_sectors(merged), facilities)
+    if corrections is not None:
+        named = [r[0] for r in corrections.select("column").distinct().collect()]
+        parsed = apply_corrections(parsed, corrections, key, [c for c in parsed.columns if c in named])
+    if furnishing:
+        parsed = stage(parsed, "parsed")
+        terms = sorted(r["term"] for r in furnishing_terms(parsed, "furnishDetails").collect())
+        parsed = furnishing_type(parsed, terms, n_init) if terms else parsed.withColumn("furnishing_type", F.lit(0))
+    return treat_units(parsed.drop("furnishDetails"))

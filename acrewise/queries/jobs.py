@@ -212,6 +212,11 @@ UNITS = (
 
 @query("c04_clean_units", over("flats houses facilities", UNITS))
 def c04(spark, sf):
-    rows = up.clean_units(flats(spark, sf), view(spark, sf, "houses"), view(spark, sf, "facilities"))
+    rows = up.clean_units(flats(spark, sf), view(spark, sf, "houses"), view(spark, sf, "facilities"), furnishing=False)
     cols = ["property_id", "property_type", "society", "sector", "price", "price_per_sqft", "bedRoom", "floorNum", "agePossession", "luxury_score"]
     return rows.select(*cols, r("built_up_area", 4).alias("built_up_area"))
+
+
+@query("c04_clean_units_furnished")
+def c04_furnished(spark, sf):
+    return up.clean_units(flats(spark, sf), view(spark, sf, "houses"), view(spark, sf, "facilities"))

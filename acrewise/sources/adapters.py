@@ -76,6 +76,7 @@ RAW_COLUMNS = [
     "longitude", "description", "state", "zipcode", "address", "listing_url", "source_file",
 ]
 _NUMERIC = {"bedrooms", "bathrooms", "sqft", "lot_size", "year_built", "latitude", "longitude"}
+# Defaults of absent columns.
 _DEFAULTS = {"property_type": "unknown", "location": "Houston", "state": "TX", "description": "", "address": "", "listing_url": ""}
 
 

@@ -15,6 +15,7 @@ def bootstrap_augment(
     target_rows: int,
     order: list[str],
     seed: int = 42,
+    # fixed values: noise widths
     price_jitter: float = 0.04,
     sqft_jitter: float = 0.05,
     geo_jitter: float = 0.0004,

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from acrewise.scale import first_per_key
 from acrewise.schema import LISTING_SCHEMA, coerce_numerics, ensure_columns, standardize_columns
 
+# Columns of the two outputs.
 REGION_COLUMNS = [
     "price", "bedrooms", "bathrooms", "sqft", "lot_size", "property_type", "year_built", "location", "latitude",
     "longitude", "description", "state", "zipcode",
