@@ -7,7 +7,7 @@
   other distinct words of a text are folded in its row. Only word counts are shuffled, combined in the tasks first.
 * Words of more than ``LONG_BYTES`` bytes take the same merges from a heap in the task, because a fold over them
   would cost the square of their length.
-* Decoding looks each id up in a literal list of pieces and concatenates the bytes.
+* Decoding looks each id up in the list of pieces and concatenates the bytes.
 
 Null text counts as empty and has no ids. Rows are independent: repeated rows get the same ids; extra columns are ignored; an empty
 table gives an empty table.
@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import uuid
 from collections import Counter
 from functools import lru_cache
 
@@ -28,9 +29,10 @@ from pyspark.sql import functions as F
 from acrewise.llm.common import most_frequent, slim, worker_store
 from acrewise.scale import stage
 
-HEAD, HEAD_BYTES, LONG_BYTES = 1 << 18, 64, 512
+HEAD, HEAD_BYTES, LONG_BYTES = 1 << 19, 64, 512
 BUCKETS = 4096
-_CACHE, _FLUSH = 300_000, 300_000
+_CACHE, _FLUSH = 200_000, 200_000
+_MARKS = "!\"#$%&()*,-./:;?"
 _NONE = (1 << 31) - 1
 
 
@@ -147,9 +149,15 @@ class _Splitter:
         return [first, *[x if x[0] == "\n" else " " + x for x in rest]]
 
     def words(self, part: str) -> tuple[str, ...]:
+        """The words of a part. Letters, and letters with a few marks behind them, need no pattern."""
         got = self.cache.get(part)
         if got is None:
-            got = tuple(self.find(part))
+            letters = part.rstrip(_MARKS)
+            core = letters[1:] if letters[:1] == " " else letters
+            if core.isalpha() and max(core) < "\u0800":
+                got = (part,) if len(letters) == len(part) else (letters, part[len(letters) :])
+            else:
+                got = tuple(self.find(part))
             if len(part) <= 64:
                 if len(self.cache) >= _CACHE:
                     self.cache.clear()
@@ -189,13 +197,13 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     rows = slim(docs, id_col, text_col)
     counts = stage(_word_counts(rows.select("text"), pattern), "bpe-counts")
     head = counts.where(most_frequent(counts, "n", HEAD) & (F.octet_length("word") <= HEAD_BYTES))
-    folded = head.repartition("word").select("word", merged(F.array("word"), path)[0].alias("ids"))
-    known = {r["word"]: np.array(r["ids"], "<i4").tobytes() for r in folded.collect()}
-    shared = docs.sparkSession.sparkContext.broadcast((known, path, ranks(path)))
+    # as an Arrow table: no Python object for each word on the driver
+    folded = head.repartition("word").select("word", merged(F.array("word"), path)[0].alias("ids")).toArrow()
+    shared = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, folded))
 
     def run(batches):
-        known, _, table = shared.value
         split = _Splitter(pattern, worker_store("bpe-words"))
+        known = _known_words(shared)
         whole: dict[str, bytes | None] = {}
 
         def ids_of(part: str) -> bytes | None:
@@ -220,30 +228,75 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
                     for w in split.words(part):
                         if w in known:
                             out.append(known[w])
-                        elif len(raw := w.encode()) > LONG_BYTES:
-                            out.append(np.array(long_word(raw, table), "<i4").tobytes())
+                        elif len(w) * 4 > LONG_BYTES and len(raw := w.encode()) > LONG_BYTES:
+                            out.append(np.array(long_word(raw, ranks(path)), "<i4").tobytes())
                         else:
                             out.append((-1 - others.setdefault(w, len(others))).to_bytes(4, "little", signed=True))
-                ids.append(np.frombuffer(b"".join(out), "<i4"))
+                ids.append(b"".join(out))
                 rare.append(list(others))
-            lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32), pa.array(np.concatenate(ids) if ids else [], pa.int32()))
-            yield pa.RecordBatch.from_arrays([b.column(0), lists, pa.array(rare, pa.list_(pa.string()))], ["doc_id", "held", "rare"])
-
-    cut = rows.mapInArrow(run, "doc_id long, held array<int>, rare array<string>")
-    cut = cut.withColumn("folded", F.when(F.size("rare") > 0, merged(F.col("rare"), path)))
-    # -1, -2, ... stand for the first, second, ... of the other words
-    # the one-element array binds the folded words, else they would be folded again for each id
-    put = lambda words: F.flatten(F.transform("held", lambda x: F.when(x >= 0, F.array(x)).otherwise(F.get(words, -1 - x))))
-    full = F.transform(F.array("folded"), put)[0]
-    return cut.select("doc_id", F.when(F.size("rare") > 0, full).otherwise(F.col("held")).alias("ids"))
-
-
-def decoded(ids: Column, path: str) -> Column:
-    """The bytes of an array of ids."""
-    by_id = sorted(ranks(path).items(), key=lambda x: x[1])
-    size = by_id[-1][1] + 1
-    listed = [""] * size
-    for piece, rank in by_id:
-        listed[rank] = piece.hex()
-    pieces = F.split(F.lit(",".join(listed)), ",")
-    return F.unhex(F.array_join(F.transform(F.array(pieces), lambda table: F.transform(ids, lambda i: F.get(table, i)))[0], ""))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary()), pa.array(rare, pa.list_(pa.string()))], ["doc_id", "held", "rare"])
+
+    def join(batches):
+        for b in batches:
+            out = [_filled(held, words) for held, words in zip(b.column(1).to_pylist(), b.column(2), strict=True)]
+            ends = np.cumsum([0, *map(len, out)]) // 4
+            lists = pa.LargeListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(out), "<i4")))
+            yield pa.RecordBatch.from_arrays([b.column(0), lists.cast(pa.list_(pa.int32()))], ["doc_id", "ids"])
+
+    cut = rows.mapInArrow(run, "doc_id long, held binary, rare array<string>")
+    cut = cut.select("doc_id", "held", F.when(F.size("rare") > 0, merged(F.col("rare"), path)).alias("folded"))
+    return cut.mapInArrow(join, "doc_id long, ids array<int>")
+
+
+def _known_words(shared) -> dict[str, bytes]:
+    """Word to ids as bytes, once for each worker and broadcast."""
+    store, (mark, table) = worker_store("bpe-known"), shared.value
+    if store.get("mark") != mark:
+        ids = table.column("ids").combine_chunks()
+        flat, ends = ids.values.to_numpy().astype("<i4").tobytes(), (4 * ids.offsets.to_numpy()).tolist()
+        words = table.column("word").to_pylist()
+        store.update(mark=mark, words={w: flat[x:y] for w, x, y in zip(words, ends, ends[1:], strict=False)})
+    return store["words"]
+
+
+def _filled(held: bytes, words: pa.Scalar) -> bytes:
+    """ids in which -1, -2, ... stand for the first, second, ... of the folded words."""
+    if not words.is_valid:
+        return held
+    folded = [np.array(x, "<i4").tobytes() for x in words.as_py()]
+    ids, out, at = np.frombuffer(held, "<i4"), [], 0
+    for k in np.flatnonzero(ids < 0).tolist():
+        out += [held[at : 4 * k], folded[-1 - ids[k]]]
+        at = 4 * k + 4
+    return b"".join([*out, held[at:]])
+
+
+def decode(coded: DataFrame, path: str) -> DataFrame:
+    """``coded`` (doc_id, ids) with ``decoded``: the pieces of the ids, concatenated."""
+
+    def run(batches):
+        pieces = {rank: piece for piece, rank in ranks(path).items()}
+        for b in batches:
+            out = [b"".join(map(pieces.__getitem__, x.values.to_numpy().tolist())) for x in b.column(1)]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.binary())], ["doc_id", "ids", "decoded"])
+
+    return coded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
+
+
+def digests(coded: DataFrame, path: str) -> DataFrame:
+    """doc_id, n_tokens, and SHA-256 of the ids in decimal digits and of the decoded bytes."""
+    import hashlib
+
+    def run(batches):
+        table = ranks(path)
+        pieces, digits = {r: p for p, r in table.items()}, {r: str(r) for r in table.values()}
+        for b in batches:
+            n, shown, back = [], [], []
+            for x in b.column(1):
+                ids = x.values.to_numpy().tolist()
+                n.append(len(ids))
+                shown.append(hashlib.sha256(" ".join(map(digits.__getitem__, ids)).encode()).hexdigest())
+                back.append(hashlib.sha256(b"".join(map(pieces.__getitem__, ids))).hexdigest())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(shown), pa.array(back)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return coded.select("doc_id", "ids").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -175,10 +175,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_bpe")
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    coded = bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
-    ids = F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256")
-    back = F.sha2(bpe.decoded(F.col("ids"), path), 256).alias("decoded_sha256")
-    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), ids, back)
+    return bpe.digests(bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN), path)
 
 
 __all__ = ["ORACLES", "QUERIES"]
