@@ -36,6 +36,8 @@ ROUNDS = 2
 _FLUSH = 150_000
 _OUT_ROWS = 50_000
 _CELLS = 1 << 18
+#: starts whose edges are held at a time
+_STRETCH = 4096
 _MARK = "▁"
 
 
@@ -81,18 +83,19 @@ class Lattice:
             if i not in self.byte_piece:
                 self.piece_of[nodes[piece]] = i
 
-    def _edges(self, codes: np.ndarray) -> list[list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
-        """By start, then length from 1: rows, weights and pieces."""
+    def _edges(self, codes: np.ndarray, lo: int, hi: int) -> list[list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+        """By start from ``lo`` to before ``hi``, then length from 1: rows, weights and pieces."""
         rows, n = codes.shape
-        row, start = (x.ravel() for x in np.indices(codes.shape))
-        node, out, length = np.zeros(rows * n, np.int64), [[] for _ in range(n)], 0
+        row, start = (x.ravel() for x in np.indices((rows, hi - lo)))
+        start = start + lo
+        node, out, length = np.zeros(len(row), np.int64), [[] for _ in range(hi - lo)], 0
         while len(row):
             key = node << 21 | codes[row, start + length]
             at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
             alive = self.keys[at] == key
             length += 1
             if length == 1:
-                lone = np.ones(rows * n, bool)
+                lone = np.ones(len(row), bool)
                 lone[alive] = self.piece_of[self.to[at[alive]]] < 0
                 bytes_row, bytes_start = row[lone], start[lone]
             row, start, node = row[alive], start[alive], self.to[at[alive]]
@@ -105,8 +108,8 @@ class Lattice:
                 parts.append((bytes_row, bytes_start, of[back] if len(chars) else np.zeros(0), np.full(len(bytes_row), -1)))
             r, s, w, p = (np.concatenate(x) for x in zip(*parts, strict=True))
             order = np.argsort(s, kind="stable")
-            cuts = np.searchsorted(s[order], np.arange(n + 1))
-            for i in range(n):
+            cuts = np.searchsorted(s[order], np.arange(lo, hi + 1))
+            for i in range(hi - lo):
                 mine = order[cuts[i] : cuts[i + 1]]
                 out[i].append((r[mine], w[mine], p[mine]))
             more = start + length < n
@@ -116,16 +119,23 @@ class Lattice:
     def _bytes(self, code: int) -> np.ndarray:
         return self.byte_piece[list(chr(code).encode("utf-8", "surrogatepass"))]
 
-    @staticmethod
-    def _forward(edges, rows: int) -> np.ndarray:
-        alpha = np.full((rows, len(edges) + 1), -np.inf)
+    def _stretches(self, codes: np.ndarray, back: bool = False):
+        """First start and edges of each bounded stretch of starts, so that a long word needs no more memory than a short one."""
+        n = codes.shape[1]
+        for lo in sorted(range(0, n, _STRETCH), reverse=back):
+            yield lo, self._edges(codes, lo, min(lo + _STRETCH, n))
+
+    def _forward(self, codes: np.ndarray) -> tuple[np.ndarray, list]:
+        """Log weights up to each place, and the edges of the last stretch, which a word of one stretch uses again."""
+        alpha, edges = np.full((codes.shape[0], codes.shape[1] + 1), -np.inf), []
         alpha[:, 0] = 0.0
-        for i, mine in enumerate(edges):
-            for k, (r, w, _) in enumerate(mine, i + 1):
-                if not len(r):
-                    continue
-                alpha[r, k] = np.logaddexp(alpha[r, k], alpha[r, i] + w)
-        return alpha
+        for lo, edges in self._stretches(codes):
+            for i, mine in enumerate(edges, lo):
+                for k, (r, w, _) in enumerate(mine, i + 1):
+                    if not len(r):
+                        continue
+                    alpha[r, k] = np.logaddexp(alpha[r, k], alpha[r, i] + w)
+        return alpha, edges
 
     @staticmethod
     def _by_length(words: list[str]):
@@ -134,7 +144,7 @@ class Lattice:
         for size in np.unique(sizes).tolist():
             at = np.flatnonzero(sizes == size)
             # the characters of one call are bounded, also for long words
-            for part in np.array_split(at, -(-len(at) * (size + 1) // _CELLS)):
+            for part in np.array_split(at, min(len(at), -(-len(at) * (size + 1) // _CELLS))):
                 text = "".join(_MARK + words[i] for i in part)
                 yield part, np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64).reshape(len(part), size + 1)
 
@@ -142,31 +152,32 @@ class Lattice:
         """Natural log of the marginal probability of each word."""
         out = np.zeros(len(words))
         for at, codes in self._by_length(words):
-            out[at] = self._forward(self._edges(codes), len(at))[:, -1]
+            out[at] = self._forward(codes)[0][:, -1]
         return out
 
     def expected(self, words: list[str], times: np.ndarray) -> np.ndarray:
         """Expected number of each piece when each word occurs ``times`` times."""
         found = np.zeros(len(self.names))
         for at, codes in self._by_length(words):
-            edges = self._edges(codes)
-            alpha, n = self._forward(edges, len(at)), len(edges)
+            n = codes.shape[1]
+            alpha, last = self._forward(codes)
             beta = np.full_like(alpha, -np.inf)
             beta[:, n] = 0.0
-            pieces, shares = [], []
-            for i in range(n - 1, -1, -1):
-                for k, (r, w, p) in enumerate(edges[i], i + 1):
-                    if not len(r):
-                        continue
-                    beyond = w + beta[r, k]
-                    beta[r, i] = np.logaddexp(beta[r, i], beyond)
-                    share = np.exp(alpha[r, i] + beyond - alpha[r, n]) * times[at[r]]
-                    whole = p >= 0
-                    pieces.append(p[whole])
-                    shares.append(share[whole])
-                    for code, part in zip(codes[r[~whole], i].tolist(), share[~whole].tolist(), strict=True):
-                        np.add.at(found, self._bytes(code), part)
-            found += np.bincount(np.concatenate(pieces), np.concatenate(shares), len(found))
+            for lo, edges in [(0, last)] if n <= _STRETCH else self._stretches(codes, back=True):
+                pieces, shares = [], []
+                for i in range(lo + len(edges) - 1, lo - 1, -1):
+                    for k, (r, w, p) in enumerate(edges[i - lo], i + 1):
+                        if not len(r):
+                            continue
+                        beyond = w + beta[r, k]
+                        beta[r, i] = np.logaddexp(beta[r, i], beyond)
+                        share = np.exp(alpha[r, i] + beyond - alpha[r, n]) * times[at[r]]
+                        whole = p >= 0
+                        pieces.append(p[whole])
+                        shares.append(share[whole])
+                        for code, part in zip(codes[r[~whole], i].tolist(), share[~whole].tolist(), strict=True):
+                            np.add.at(found, self._bytes(code), part)
+                found += np.bincount(np.concatenate(pieces), np.concatenate(shares), len(found))
         return found
 
 
