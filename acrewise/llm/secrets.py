@@ -2,20 +2,22 @@
 
 * Base: assignments, access keys and hex keys by pattern (:func:`scan`), on the text as it stands. They always stay.
 * Worklist: a layer is a text with a map of its positions to those of the layer it came from. Percent escapes and ``\\uXXXX``
-  escapes are decoded in place over a whole layer; each base64 run gives a layer of its own, through gzip or zlib
-  where its bytes are compressed. Every new layer is scanned and unwrapped again until none is new. A layer whose text
-  was seen for the same place is not entered again, which also ends compressed data that unpack to themselves.
+  escapes are decoded in place over a whole layer; each base64 run gives layers of its own: from all four alignments, since
+  what stands before the payload may belong to the alphabet, and with lines joined where it is wrapped. Bytes are read as
+  UTF-8 with replacement, as UTF-16 of both orders where they hold a zero byte, and through the gzip or zlib
+  data found at any offset. Every new layer is scanned and unwrapped again until none is new. Bytes and texts that were seen
+  for the same place are not entered again, which also ends compressed data that unpack to themselves.
 * A secret found in a layer is reported at the span of the document that its characters came from.
 
-Documents are independent rows: nothing is shuffled. ``UNPACK_BYTES`` bounds what the layers of one document may unpack from
-compressed data, a guard against archive bombs: a stream beyond it is not entered. Null text counts as empty and has no
+Documents are independent rows: nothing is shuffled. ``UNPACK_BYTES`` bounds what a stream may unpack to.
+Compressed data are entered to a depth of ``DEPTH``, which only data made to unpack for ever exceed. Null text counts as empty and has no
 span; repeated rows get the same spans; extra columns are ignored. Positions count code points, ends are exclusive.
 """
 
 from __future__ import annotations
 
 import base64
-import binascii
+import hashlib
 import re
 import zlib
 from bisect import bisect_right
@@ -27,6 +29,7 @@ from acrewise.llm.common import slim
 
 KINDS = ("assign", "access", "hex")
 UNPACK_BYTES = 64 << 20
+DEPTH = 64
 
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
@@ -34,6 +37,10 @@ _HEX = re.compile(r"[0-9a-f]{24,}")
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+")
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+={0,2}")
+#: lines of the alphabet, behind quote marks or with escaped line ends too
+_WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:[\x20\t>]*(?:\r?\n|(?:\\r)?\\n)[\x20\t>]*[A-Za-z0-9+/_-]++)++={0,2}")
+_BREAK = re.compile(r"[\x20\t>]*(?:\r?\n|(?:\\r)?\\n)[\x20\t>]*")
+_PACKED = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]", re.S)
 
 
 def scan(text: str) -> list[tuple[int, int, int]]:
@@ -107,50 +114,67 @@ def _in_place(layer: _Layer, pattern: re.Pattern, chars) -> _Layer | None:
     return _Layer("".join(parts), layer, segments)
 
 
-def _unpacked(raw: bytes, room: list[int]) -> bytes:
-    """The bytes inside gzip or zlib data, else ``raw``; ``room`` holds what may still be unpacked."""
-    kind = 31 if raw[:2] == b"\x1f\x8b" else 15 if raw[:1] == b"\x78" and len(raw) > 6 and int.from_bytes(raw[:2], "big") % 31 == 0 else 0
-    if not kind:
-        return raw
+def _members(raw: bytes, at: int):
+    """The output of the gzip or zlib data from ``at`` on; returns where they end."""
+    stream = zlib.decompressobj(31 if raw[at : at + 1] == b"\x1f" else 15)
     try:
-        stream = zlib.decompressobj(kind)
-        out = stream.decompress(raw, room[0] + 1)
-        if stream.unconsumed_tail or len(out) > room[0]:
-            return raw
+        out = stream.decompress(raw[at:], UNPACK_BYTES)
     except zlib.error:
-        return raw
-    room[0] -= len(out)
-    return out
-
-
-def _readable(raw: bytes) -> str | None:
-    try:
-        text = raw.decode()
-    except UnicodeDecodeError:
-        return None
-    return text if text and all(c.isprintable() or c in "\t\r\n" for c in text[:64]) else None
-
-
-def _children(layer: _Layer, room: list[int]):
+        return at
+    yield out
+    return len(raw) - len(stream.unused_data)
+
+
+def _texts(raw: bytes, new, depth: int = 0):
+    """What ``raw`` reads as, and what the compressed data in it read as."""
+    if not raw or not new(raw):
+        return
+    yield raw.decode("utf-8", "replace")
+    if b"\0" in raw:
+        for code in ("utf-16-le", "utf-16-be"):
+            for at in (0, 1):
+                yield raw[at:].decode(code, "replace")
+    at = 0
+    while depth < DEPTH and (m := _PACKED.search(raw, at)):
+        parts, end = _members(raw, m.start()), m.start()
+        while True:
+            try:
+                part = next(parts)
+            except StopIteration as done:
+                end = done.value
+                break
+            yield from _texts(part, new, depth + 1)
+        at = max(end, m.start() + 1)
+
+
+def _children(layer: _Layer, seen: set):
     text = layer.text
     if "%" in text and (child := _in_place(layer, _PERCENT, _percent_chars)):
         yield child
     if "\\u" in text and (child := _in_place(layer, _ESCAPE, _escape_chars)):
         yield child
-    for m in _BASE64.finditer(text):
-        run = m[0].rstrip("=").translate({45: 43, 95: 47})
-        if len(run) % 4 == 1:
-            continue
-        try:
-            raw = base64.b64decode(run + "=" * (-len(run) % 4))
-        except binascii.Error:
-            continue
-        inner = _unpacked(raw, room)
-        # data may be compressed more than once
-        while inner is not raw and (again := _unpacked(inner, room)) is not inner and again != inner:
-            inner = again
-        if (found := _readable(inner)) is not None:
-            yield _Layer(found, layer, [(0, m.start(), m.end(), False)])
+    for pattern in (_BASE64, _WRAPPED):
+        for m in pattern.finditer(text):
+            run = (m[0] if pattern is _BASE64 else _BREAK.sub("", m[0])).rstrip("=").translate({45: 43, 95: 47})
+            if len(run) < 16:
+                continue
+            place = layer.place(m.start(), m.end())
+
+            def new(raw, place=place):
+                return _first(seen, raw, place)
+
+            for at in range(4):
+                part = run[at : len(run) - ((len(run) - at) % 4 == 1)]
+                for found in _texts(base64.b64decode(part + "=" * (-len(part) % 4)), new):
+                    yield _Layer(found, layer, [(0, m.start(), m.end(), False)])
+
+
+def _first(seen: set, raw: bytes, place: tuple[int, int]) -> bool:
+    """Whether these bytes come up for this place for the first time."""
+    mark = (hashlib.blake2b(raw, digest_size=16).digest(), place)
+    known = mark in seen
+    seen.add(mark)
+    return not known
 
 
 def all_spans(text: str) -> list[tuple[int, int, int, bool]]:
@@ -158,17 +182,17 @@ def all_spans(text: str) -> list[tuple[int, int, int, bool]]:
     root = _Layer(text)
     base = scan(text)
     found = {s: True for s in base}
-    work, seen, room = [root], set(), [UNPACK_BYTES]
+    texts, seen = set(), set()
+    work = [_children(root, seen)]
     while work:
-        for child in _children(work.pop(), room):
-            mark = (child.text, child.place(0, len(child.text)))
-            if mark in seen:
-                continue
-            seen.add(mark)
-            work.append(child)
+        child = next(work[-1], None)
+        if child is None:
+            work.pop()
+        elif child.text and _first(texts, child.text.encode("utf-8", "surrogatepass"), child.place(0, len(child.text))):
             for start, kind, end in scan(child.text):
                 a, b = child.place(start, end)
                 found.setdefault((a, kind, b), False)
+            work.append(_children(child, seen))
     return sorted((a, k, b, own) for (a, k, b), own in found.items())
 
 
