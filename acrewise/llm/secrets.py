@@ -4,12 +4,13 @@
 * Worklist: a layer is a text with a map of its positions to those of the layer it came from. Percent escapes and ``\\uXXXX``
   escapes are decoded in place over a whole layer; each base64 run gives layers of its own: from all four alignments, since
   what stands before the payload may belong to the alphabet, and with lines joined where it is wrapped. Bytes are read as
-  UTF-8 with replacement, as UTF-16 of both orders where they hold a zero byte, and through the gzip or zlib
+  UTF-8 with replacement, as UTF-16 of both orders where they hold a zero byte, and through all members of the gzip or zlib
   data found at any offset. Every new layer is scanned and unwrapped again until none is new. Bytes and texts that were seen
   for the same place are not entered again, which also ends compressed data that unpack to themselves.
 * A secret found in a layer is reported at the span of the document that its characters came from.
 
-Documents are independent rows: nothing is shuffled. ``UNPACK_BYTES`` bounds what a stream may unpack to.
+Documents are independent rows: nothing is shuffled. Unpacked data are scanned in layers of ``UNPACK_BYTES`` at most, which overlap
+by ``OVERLAP``: memory is bounded, nothing is refused; an encoded run longer than the overlap may be cut between two layers.
 Compressed data are entered to a depth of ``DEPTH``, which only data made to unpack for ever exceed. Null text counts as empty and has no
 span; repeated rows get the same spans; extra columns are ignored. Positions count code points, ends are exclusive.
 """
@@ -29,6 +30,7 @@ from acrewise.llm.common import slim
 
 KINDS = ("assign", "access", "hex")
 UNPACK_BYTES = 64 << 20
+OVERLAP = 1 << 20
 DEPTH = 64
 
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -115,14 +117,32 @@ def _in_place(layer: _Layer, pattern: re.Pattern, chars) -> _Layer | None:
 
 
 def _members(raw: bytes, at: int):
-    """The output of the gzip or zlib data from ``at`` on; returns where they end."""
-    stream = zlib.decompressobj(31 if raw[at : at + 1] == b"\x1f" else 15)
-    try:
-        out = stream.decompress(raw[at:], UNPACK_BYTES)
-    except zlib.error:
-        return at
-    yield out
-    return len(raw) - len(stream.unused_data)
+    """The output of the gzip or zlib members from ``at`` on, in overlapping parts; returns where they end."""
+    kind = 31 if raw[at : at + 1] == b"\x1f" else 15
+    held, view = b"", memoryview(raw)
+    stream, rest, some, fresh = zlib.decompressobj(kind), view[at:], False, False
+    while True:
+        try:
+            out = stream.decompress(rest, UNPACK_BYTES - len(held))
+        except zlib.error:
+            break
+        rest = stream.unconsumed_tail
+        held += out
+        some, fresh = some or bool(out), fresh or bool(out)
+        if len(held) >= UNPACK_BYTES:
+            yield held
+            held, fresh = held[-min(OVERLAP, UNPACK_BYTES // 2) :], False
+        elif stream.eof:
+            at = len(raw) - len(stream.unused_data)
+            again = _PACKED.match(raw, at)
+            if again is None:
+                break
+            stream, rest = zlib.decompressobj(31 if raw[at] == 0x1F else 15), view[at:]
+        elif not out and not rest:
+            break
+    if fresh:
+        yield held
+    return at
 
 
 def _texts(raw: bytes, new, depth: int = 0):

@@ -36,3 +36,15 @@ def test_wrapped_lines(end):
     for raw in (SECRET, gzip.compress(NOISE + SECRET + NOISE), zlib.compress(NOISE + SECRET)):
         for width in (12, 64, 76):
             assert _kinds("a: " + end.join(textwrap.wrap(b64(raw), width)) + " b") == {0, 1}
+
+
+def test_all_members_and_large_streams(monkeypatch):
+    packed = gzip.compress(b"nothing here") + gzip.compress(SECRET[:20]) + gzip.compress(SECRET[20:])
+    assert _kinds(b64(packed)) == {0, 1}
+    assert _kinds(b64(gzip.compress(gzip.compress(b"x" * 99) + gzip.compress(SECRET)))) == {0, 1}
+    monkeypatch.setattr(secrets, "UNPACK_BYTES", 4096)
+    monkeypatch.setattr(secrets, "OVERLAP", 256)
+    for at in range(4000, 4200, 7):
+        assert _kinds(b64(zlib.compress(b"x " * (at // 2) + SECRET + b" y" * 9000))) == {0, 1}
+    many = " ".join(b64(gzip.compress(bytes([65 + i]) * 4000 + b" " + SECRET)) for i in range(9))
+    assert len({(a, b) for a, _, b, _ in secrets.all_spans(many)}) == 9
