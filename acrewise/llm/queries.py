@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acrewise.llm import bpe, exact_dedup, line_dedup, lm, packing, pii, quality, secrets, simhash, warc
+from acrewise.llm import bpe, centroids, exact_dedup, line_dedup, lm, middle, packing, pii, quality, secrets, simhash, substring_dedup, warc
 from acrewise.llm.registry import ORACLES, QUERIES, query, table
 
 
@@ -178,4 +178,94 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN), path)
 
 
+_MIDDLE_SQL = """
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+u AS (
+  SELECT doc_id, text, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS units,
+         list_transform([1, 9, 17, 25], lambda i: ('0x' || substr(h, i, 8))::BIGINT) AS h FROM t),
+c AS (
+  SELECT doc_id, text, units, len(units)::BIGINT AS n,
+         least(h[1] % (len(units) + 1), h[2] % (len(units) + 1)) AS low, greatest(h[1] % (len(units) + 1), h[2] % (len(units) + 1)) AS high,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h[3] % 100 >= 90 THEN 'plain'
+              WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (
+  SELECT doc_id, text, n, form, array_to_string(units[1:low], '') AS prefix, array_to_string(units[low + 1:high], '') AS middle,
+         array_to_string(units[high + 1:], '') AS suffix FROM c),
+o AS (
+  SELECT *, CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                      ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END AS output FROM p)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix)::BIGINT END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle)::BIGINT END AS middle_chars, sha256(output) AS output_sha256,
+       sha256(CASE form WHEN 'plain' THEN output
+         WHEN 'psm' THEN substr(output, 4, strpos(output, '<S>') - 4) || substr(output, strpos(output, '<M>') + 3)
+           || substr(output, strpos(output, '<S>') + 3, strpos(output, '<M>') - strpos(output, '<S>') - 3)
+         ELSE substr(output, strpos(output, '<P>') + 3, strpos(output, '<M>') - strpos(output, '<P>') - 3)
+           || substr(output, strpos(output, '<M>') + 3) || substr(output, 4, strpos(output, '<P>') - 4) END) AS restored_sha256
+FROM o
+"""
+
+
+@query("op11_middle", _MIDDLE_SQL)
+def op11_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return middle.digests(middle.pieces(table(spark, sf_dir, "documents")))
+
+
+_WINDOWS_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+x AS (
+  SELECT doc_id, i, array_to_string(words[i:i + 49], ' ') AS content
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS i FROM w WHERE len(words) >= 50)),
+later AS (SELECT doc_id, i FROM (SELECT *, min(doc_id) OVER (PARTITION BY content) AS least FROM x) WHERE doc_id > least),
+gone AS (SELECT DISTINCT doc_id, i + k AS pos FROM later, (SELECT unnest(range(50)) AS k)),
+p AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS pos FROM w),
+kept AS (
+  SELECT p.doc_id, string_agg(word, ' ' ORDER BY p.pos) AS text FROM p LEFT JOIN gone ON gone.doc_id = p.doc_id AND gone.pos = p.pos
+  WHERE gone.pos IS NULL GROUP BY p.doc_id),
+n AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT w.doc_id, len(words)::BIGINT AS n_words, coalesce(n.n, 0)::BIGINT AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN kept ON kept.doc_id = w.doc_id
+"""
+
+
+@query("op12_substring_dedup", _WINDOWS_SQL)
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup_substrings(table(spark, sf_dir, "documents"))
+
+
+def _clusters_sql(k: int = 16, rounds: int = 3) -> str:
+    """Each round in long form: assignment ``a``, then the next centroids ``c``, by component."""
+    steps = [
+        f"""k AS (
+  SELECT vec_id, embedding FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+v AS (SELECT vec_id, unnest(range(64)) AS pos, unnest(list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT)) AS x FROM k),
+s AS (SELECT vec_id, row_number() OVER (ORDER BY sha256('1:' || vec_id::VARCHAR)) - 1 AS c FROM k QUALIFY c < {k}),
+c0 AS (SELECT s.c, v.pos, v.x FROM s JOIN v ON v.vec_id = s.vec_id)"""
+    ]
+    for r in range(rounds + 1):
+        steps.append(
+            f"""a{r} AS (
+  SELECT vec_id, c, d FROM (
+    SELECT v.vec_id, c.c, sum((v.x - c.x) * (v.x - c.x)) AS d FROM v JOIN c{r} c ON c.pos = v.pos GROUP BY ALL)
+  QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, c) = 1)"""
+        )
+        if r < rounds:
+            steps.append(
+                f"""m{r} AS (
+  SELECT a.c, v.pos, (sum(v.x) - ((sum(v.x) % count(*)) + count(*)) % count(*)) // count(*) AS x
+  FROM a{r} a JOIN v ON v.vec_id = a.vec_id GROUP BY ALL),
+c{r + 1} AS (SELECT c.c, c.pos, coalesce(m.x, c.x)::BIGINT AS x FROM c{r} c LEFT JOIN m{r} m ON m.c = c.c AND m.pos = c.pos)"""
+            )
+    return f"""WITH {", ".join(steps)},
+h AS (SELECT c, sha256(string_agg(x::VARCHAR, ',' ORDER BY pos)) AS centroid_sha256 FROM c{rounds} GROUP BY c)
+SELECT a.vec_id, a.c::INT AS cluster, a.d::BIGINT AS distance, (sum(a.d) OVER (PARTITION BY a.c))::BIGINT AS cluster_inertia,
+       (sum(a.d) OVER ())::BIGINT AS inertia, h.centroid_sha256
+FROM a{rounds} a JOIN h ON h.c = a.c"""
+
+
+@query("op13_centroids", _clusters_sql())
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clusters(table(spark, sf_dir, "embeddings"))
+
+
 __all__ = ["ORACLES", "QUERIES"]
