@@ -11,9 +11,9 @@ A word is removed if a window of ``WINDOW`` words that covers it also starts in
   a row and a text an anchor at most once; no pair of documents or windows is ever formed.
 * Texts with the same words are one text for this: the row with the smallest id stands for all. Of the others every word
   is removed if they have a window at all. A task sends the anchors of equal texts once.
-* Anchors that very many documents share are found on a sixty-fourth of the texts, ``HOT`` at most. They are taken as shared
-  without meeting, and the windows that contain one (at any position, so that equal windows agree) are added up in the tasks and
-  joined back, where others meet in one sorted partition. Both ways give the same rows; the list only spreads the work.
+* Anchors that very many documents share are found on a sixty-fourth of the texts, ``HOT`` at most. They are taken as shared, and
+  the windows that contain one (at any position, so that equal windows agree) meet in as many parts as there are partitions, the
+  least of the parts then once more. Other windows meet in one partition. Both ways give the same rows; the list only spreads the work.
 
 Long texts are worked on in pieces of about ``PIECE`` bytes that overlap by a window. Null and empty texts have no words.
 Rows with equal id are never smaller than each other; a null id is larger than every other id. Repeated rows get a result each.
@@ -28,10 +28,10 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from acrewise.llm.common import SPACE, slim
+from acrewise.llm.common import SPACE, partitions, slim
 from acrewise.scale import stage
 
 WINDOW = 50
@@ -191,18 +191,23 @@ def _member(values: np.ndarray, of: np.ndarray) -> np.ndarray:
     return of[np.minimum(np.searchsorted(of, values), len(of) - 1)] == values
 
 
+def _salt(hot: Column, spark: SparkSession) -> Column:
+    """-1, or for frequent keys a part of the rows of a key, as many parts as there are shuffle partitions."""
+    return F.when(hot, F.pmod(F.xxhash64("th", F.lit(3)), F.lit(partitions(spark)))).otherwise(F.lit(-1))
+
+
 def _shared(texts: DataFrame, hot: np.ndarray) -> DataFrame:
     """th, ats: cover positions of each text whose anchor another text has too."""
-    found = anchors(texts.select("th", "text"))
 
     def mark(batches):
         for b in batches:
             yield b.append_column("hot", pa.array(_member(b.column(2).to_numpy(), hot)))
 
-    marked = found.mapInArrow(mark, "th long, at int, a long, hot boolean") if len(hot) else found.withColumn("hot", F.lit(False))
-    group = Window.partitionBy("a")
-    met = marked.where("not hot").withColumn("low", F.min("th").over(group)).withColumn("high", F.max("th").over(group)).where("low != high")
-    both = met.select("th", "at") if not len(hot) else met.select("th", "at").unionByName(marked.where("hot").select("th", "at"))
+    found = anchors(texts.select("th", "text")).mapInArrow(mark, "th long, at int, a long, hot boolean")
+    group = Window.partitionBy("a", "salt")
+    met = found.select("th", "at", "a", _salt(F.col("hot"), texts.sparkSession).alias("salt"))
+    met = met.withColumn("low", F.min("th").over(group)).withColumn("high", F.max("th").over(group))
+    both = met.where((F.col("low") != F.col("high")) | (F.col("salt") >= 0)).select("th", "at")
     return both.groupBy("th").agg(F.collect_set("at").alias("ats"))
 
 
@@ -247,15 +252,16 @@ def _windows(candidates: DataFrame, hot: np.ndarray) -> DataFrame:
     return candidates.mapInArrow(run, "id long, th long, at int, h1 long, h2 long, hot boolean")
 
 
-def _later(windows: DataFrame, any_hot: bool) -> DataFrame:
+def _later(windows: DataFrame) -> DataFrame:
     """id, th, starts: the windows that also start in a text with a smaller id."""
-    key = ["h1", "h2"]
-    least = F.min("id").over(Window.partitionBy(*key))
-    found = windows.where("not hot").withColumn("least", least).where("id > least").select("id", "th", "at")
-    if any_hot:
-        often = windows.where("hot").drop("hot")
-        first = often.groupBy(*key).agg(F.min("id").alias("least")).hint("merge")
-        found = found.unionByName(often.join(first, key).where("id > least").select("id", "th", "at"))
+    rows = windows.select("id", "th", "at", "h1", "h2", _salt(F.col("hot"), windows.sparkSession).alias("salt"))
+    met = rows.withColumn("least", F.min("id").over(Window.partitionBy("h1", "h2", "salt")))
+    # a larger id is settled; of a frequent window the least of each part are left, and keep their hash
+    open_yet = F.col("id") == F.col("least")
+    left = [F.when(open_yet, F.col(c)).alias(c) for c in ("h1", "h2")]
+    held = stage(met.where(~open_yet | (F.col("salt") >= 0)).select("id", "th", "at", *left), "met")
+    parts = held.where("h1 is not null").withColumn("first", F.min("id").over(Window.partitionBy("h1", "h2"))).where("id > first")
+    found = held.where("h1 is null").select("id", "th", "at").unionByName(parts.select("id", "th", "at"))
     return found.groupBy("id", "th").agg(F.collect_set("at").alias("starts"))
 
 
@@ -295,7 +301,7 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     firsts = facts.where("id = least").select("id", "th").distinct()
     wanted = stage(_shared(texts, hot).join(firsts, "th"), "anchors")
     candidates = stage(texts.join(wanted, ["id", "th"]).select("id", "th", "ats", "text"), "candidates")
-    later = stage(_later(_windows(candidates, hot), len(hot) > 0), "windows")
+    later = stage(_later(_windows(candidates, hot)), "windows")
     return facts, candidates.join(later, ["id", "th"]).select("id", "th", "text", "starts")
 
 
