@@ -8,7 +8,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.param.shared import HasInputCols, Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acrewise.operators.similarity import standardized
@@ -133,22 +133,12 @@ def elbow(df: DataFrame, cols: list[str], ks: range = range(1, 11), scale: bool
     return df.sparkSession.createDataFrame(rows, "k int, wcss double")
 
 
-def cluster(
-    df: DataFrame,
-    cols: list[str],
-    k: int,
-    out: str,
-    n_init: int = 10,
-    seed: int = 42,
-    scale: bool = False,
-    order_by: str = "center",
-) -> DataFrame:
-    """K-means labels, best of ``n_init`` starts, numbered by a stable rule instead of by chance.
+def cluster_centers(df: DataFrame, cols: list[str], k: int, n_init: int = 10, seed: int = 42, order_by: str = "center") -> list[list[float]]:
+    """K-means centres, best of ``n_init`` starts, numbered by a stable rule instead of by chance.
 
     ``order_by``: ``center`` sorts clusters by their centre coordinates, ``total`` by the sum of them.
     """
-    vectors = _vectors(df, cols, scale)
-    training = vectors.select("__vec").persist(StorageLevel.MEMORY_AND_DISK)
+    training = VectorAssembler(inputCols=cols, outputCol="__vec").transform(df).select("__vec").persist(StorageLevel.MEMORY_AND_DISK)
     best = None
     for start in range(n_init):
         model = KMeans(k=k, seed=seed + start, featuresCol="__vec", predictionCol="__cluster").fit(training)
@@ -156,11 +146,38 @@ def cluster(
             best = model
     training.unpersist()
     centers = [list(map(float, c)) for c in best.clusterCenters()]
-    rule = (lambda i: (sum(centers[i]), centers[i])) if order_by == "total" else (lambda i: centers[i])
-    rank = {old: new for new, old in enumerate(sorted(range(len(centers)), key=rule))}
-    labels = F.array(*[F.lit(rank[i]) for i in range(len(centers))])
-    labelled = best.transform(vectors).withColumn(out, F.get(labels, F.col("__cluster")))
-    return labelled.drop("__vec", "__cluster", *([f"{c}_std" for c in cols] if scale else []))
+    return sorted(centers, key=lambda c: (sum(c), c) if order_by == "total" else c)
+
+
+def nearest_center(point: list[Column], centers: list[list[float]]) -> Column:
+    """Number of the centre at the least distance, ties to the smaller number; ``centers`` is a short list."""
+
+    def distance(center: list[float]) -> Column:
+        total = F.lit(0.0)
+        for x, c in zip(point, center, strict=True):
+            total = total + (x - F.lit(c)) * (x - F.lit(c))
+        return total
+
+    found = F.array_min(F.array(*[F.struct(distance(c).alias("d"), F.lit(i).alias("i")) for i, c in enumerate(centers)]))
+    return found["i"]
+
+
+def cluster(
+    df: DataFrame,
+    cols: list[str],
+    k: int,
+    out: str,
+    n_init: int = 10,
+    seed: int = 42,
+    scale: bool = False,
+    order_by: str = "center",
+) -> DataFrame:
+    """K-means labels, numbered as :func:`cluster_centers` numbers the centres."""
+    rows = standardize(df, cols) if scale else df
+    names = [f"{c}_std" for c in cols] if scale else cols
+    centers = cluster_centers(rows.select(*names), names, k, n_init, seed, order_by)
+    labelled = rows.withColumn(out, nearest_center([F.col(c) for c in names], centers))
+    return labelled.drop(*names) if scale else labelled
 
 
 def geo_clusters(df: DataFrame, out: str = "location_cluster", n_init: int = 10, k: int = 8) -> DataFrame:

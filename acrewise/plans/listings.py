@@ -5,43 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acrewise.functions.features import (
-    AMENITY_PATTERNS,
-    CENTER_LAT,
-    CENTER_LON,
-    haversine_miles,
-    luxury_segment,
-    luxury_x_sqft,
-    property_age,
-    ratio,
-    round_even,
-    type_rarity,
-    with_amenities,
-)
 from acrewise.functions.property_type import resolve_property_type
 from acrewise.operators.dedupe import dedupe_listings
-from acrewise.operators.encode import geo_clusters
+from acrewise.operators.feature_state import FEATURE_COLUMNS, RATIOS, FeatureState
 from acrewise.operators.filters import in_band, in_region, require
 from acrewise.operators.impute import fill_medians
 from acrewise.operators.outliers import remove_outliers_iqr
-from acrewise.scale import lookup_join, medians, quantiles, stage
+from acrewise.scale import stage
 from acrewise.schema import LISTING_COLUMNS, coerce_numerics, ensure_columns, fill_defaults
 from acrewise.sources.augment import bootstrap_augment
 from acrewise.sources.folder import ingest_folder
 from acrewise.sources.regional import subset_region
 
 IQR_COLUMNS = ["price", "sqft", "bedrooms", "bathrooms"]
-RATIOS = {
-    "price_per_sqft": ("price", "sqft"),
-    "bed_bath_ratio": ("bedrooms", "bathrooms"),
-    "sqft_per_bedroom": ("sqft", "bedrooms"),
-    "bath_per_bedroom": ("bathrooms", "bedrooms"),
-}
-FEATURE_COLUMNS = [
-    "price_per_sqft", "property_age", "bed_bath_ratio", "sqft_per_bedroom", "bath_per_bedroom", "location_target_enc",
-    "location_cluster", "dist_to_houston_mi", "dist_to_location_center_mi", *AMENITY_PATTERNS, "amenity_count",
-    "luxury_score", "luxury_x_sqft", "is_luxury_segment", "property_type_rarity",
-]
 
 
 def collect(
@@ -81,46 +57,9 @@ def preprocess(df: DataFrame, order: tuple[Column | str, ...] = ("listing_id",))
 
 
 def engineer_features(df: DataFrame, as_of_year: int, clusters: bool = True, n_init: int = 10) -> DataFrame:
-    """The feature table: the listing columns plus the derived ones.
+    """The feature table: the listing columns plus the derived ones, by a state learned from the same rows.
 
-    All global medians come from one aggregate and all per-location medians from another. Filling a column's
-    gaps with its median leaves the median unchanged, so one value serves both the fill and the score.
+    To give new rows the same features, keep the state: ``FeatureState(...).fit(clean)``, see ``operators/feature_state.py``.
     """
-    rows = stage(df, "clean").withColumns({out: ratio(num, den) for out, (num, den) in RATIOS.items()})
-    mid = medians(rows, [*RATIOS, "price", "sqft", "latitude", "longitude"])
-
-    def or_median(c: str) -> Column:
-        return F.coalesce(F.col(c), F.lit(mid[c]).cast("double"))
-
-    rows = rows.withColumns({c: or_median(c) for c in RATIOS})
-    rows = rows.withColumn("property_age", property_age("year_built", as_of_year))
-
-    known = rows.where(F.col("location").isNotNull())
-    local = quantiles(known, ["price", "latitude", "longitude"], [0.5], ["location"]).select(
-        "location",
-        F.col("price")[0].alias("__price"),
-        F.col("latitude")[0].alias("__lat"),
-        F.col("longitude")[0].alias("__lon"),
-    )
-    rows = lookup_join(rows, local, ["location"])
-    lat, lon = or_median("latitude"), or_median("longitude")
-    rows = rows.withColumns(
-        {
-            "location_target_enc": F.coalesce(F.col("__price"), F.lit(mid["price"]).cast("double")),
-            "dist_to_houston_mi": haversine_miles(lat, lon, CENTER_LAT, CENTER_LON),
-            "dist_to_location_center_mi": haversine_miles(lat, lon, F.col("__lat"), F.col("__lon")),
-        }
-    ).drop("__price", "__lat", "__lon")
-    rows = with_amenities(rows)
-    parts = (
-        F.try_divide(F.col("sqft"), F.lit(mid["sqft"]).cast("double"))
-        + F.try_divide(F.col("price_per_sqft"), F.lit(mid["price_per_sqft"]).cast("double"))
-        + F.col("amenity_count") / len(AMENITY_PATTERNS)
-    )
-    rows = rows.withColumn("luxury_score", round_even(parts / 3 * 10, 2))
-    rows = rows.withColumn("luxury_x_sqft", luxury_x_sqft())
-    rows = type_rarity(luxury_segment(rows))
-    rows = geo_clusters(rows, n_init=n_init) if clusters else rows
-    derived = [c for c in FEATURE_COLUMNS if c in rows.columns]
-    return rows.select(*df.columns, *derived)
-
+    rows = stage(df, "clean")
+    return FeatureState(as_of_year, 8 if clusters else 0, n_init).fit(rows).transform(rows)

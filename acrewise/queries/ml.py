@@ -11,6 +11,7 @@ from acrewise.operators import sampling as sm
 from acrewise.operators import selection as sl
 from acrewise.operators.text_features import tfidf
 from acrewise.functions.text import bedroom_label, furnishing_count
+from acrewise.plans.listings import preprocess
 from acrewise.queries.registry import flats, listings, over, query, r, rounded, table
 from acrewise.queries.statistics import _STOP as STOP_WORDS
 from acrewise.scale import shared_folder
@@ -330,10 +331,10 @@ def t10(spark, sf):
 
 @query("t10_batch_score")
 def t10_score(spark, sf):
-    rows = md.labelled(model_rows(spark, sf))
-    stages = en.build_preprocessor(["sqft", "bedrooms", "year_built"], ["location"]).getStages()
-    model = md.Pipeline(stages=[*stages, md.linear()]).fit(rows)
-    return md.score(model, listings(spark, sf)).select("listing_id", "predicted_price")
+    """All training features, of listings whose price is hidden, by a pipeline that was saved and loaded."""
+    path = shared_folder(spark, "price-model")
+    save_model(md.fit_price_model(preprocess(listings(spark, sf))), path)
+    return md.score(load_model(path), listings(spark, sf).drop("price")).select("listing_id", "predicted_price")
 
 
 @query("s17_model_store")
