@@ -15,6 +15,7 @@ from acrewise.operators import sampling as sm
 from acrewise.operators import similarity as sy
 from acrewise.operators import stats as st
 from acrewise.operators.neighbours import similarity_edges
+from acrewise.operators.text_features import tfidf
 from acrewise.queries.similar import similar_rows
 
 
@@ -79,7 +80,7 @@ def test_radius_join_equals_brute_force_across_the_date_line(spark):
     assert got == want and want
 
 
-def brute_edges(df, k):
+def brute_edges(df, k, text_col="description"):
     rows = sy.similarity_blocks(df).select("listing_id", "sim_num", "sim_cat", "sim_geo").orderBy("listing_id").collect()
     ids = [r["listing_id"] for r in rows]
 
@@ -91,7 +92,14 @@ def brute_edges(df, k):
     num, geo = unit("sim_num"), unit("sim_geo")
     cat = np.array([[a == b for a, b in zip(x["sim_cat"], y["sim_cat"], strict=True)] for x in rows for y in rows])
     cat = cat.reshape(len(rows), len(rows), -1).mean(axis=2)
-    sims = np.round((0.5 * num @ num.T + 0.8 * cat + 1.0 * geo @ geo.T) / 2.3, 7)
+    total, weight = 0.5 * num @ num.T + 0.8 * cat + 1.0 * geo @ geo.T, 2.3
+    if text_col:
+        words = {}
+        for r in tfidf(df, "listing_id", text_col).collect():
+            words.setdefault(r["term"], {})[r["listing_id"]] = r["weight"]
+        text = np.array([[at.get(i, 0.0) for at in words.values()] for i in ids])
+        total, weight = total + 0.35 * text @ text.T, 2.65
+    sims = np.round(total / weight, 7)
     out = {}
     for i, src in enumerate(ids):
         order = sorted((j for j in range(len(ids)) if j != i), key=lambda j: (-sims[i, j], ids[j]))[:k]
@@ -99,14 +107,14 @@ def brute_edges(df, k):
     return out
 
 
-@pytest.mark.parametrize("options", [{}, {"small": 0, "rows_per_cell": 8, "chunk": 16}, {"small": 0, "rows_per_cell": 40, "max_cells": 5}])
+@pytest.mark.parametrize("options", [{}, {"rows_per_cell": 8, "chunk": 16, "fanout": 4}, {"rows_per_cell": 40, "fanout": 3, "text_col": None}])
 def test_similarity_edges_equal_brute_force(spark, sf, options):
     rows = similar_rows(spark, sf).where("listing_id < 260")
     # a third of the rows are copies of one listing
     first = rows.where("listing_id = 5").drop("listing_id")
     copies = spark.range(1000, 1130).select(F.col("id").alias("listing_id")).join(F.broadcast(first))
     rows = rows.unionByName(copies).cache()
-    want = brute_edges(rows, 4)
+    want = brute_edges(rows, 4, options.get("text_col", "description"))
     got = {}
     for r in similarity_edges(rows, 4, **options).orderBy("src_id", "rank").collect():
         assert r["src_id"] != r["dst_id"]
