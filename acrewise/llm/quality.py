@@ -30,7 +30,6 @@ RULES: tuple[tuple[str, float | None, float | None, int], ...] = (
     ("symbol_ratio", None, 0.04, 0),
     ("stop_word_ratio", 0.02, None, 40),
     ("dup_line_ratio", None, 0.5, 0),
-    ("chars_per_line", None, 100_000.0, 0),
 )
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -92,7 +91,6 @@ def with_metrics(df: DataFrame, text: str = "text") -> DataFrame:
             "symbol_ratio": over("n_symbols", "word_chars"),
             "stop_word_ratio": over("__stops", "n_words"),
             "dup_line_ratio": over("n_dup_lines", "__n_lines"),
-            "chars_per_line": over("word_chars", "__n_lines"),
         }
     ).drop("__words", "__lines", "__stops", "__n_lines")
 

@@ -53,8 +53,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        AND word_chars / greatest(n_words, 1) BETWEEN 2.0 AND 15.0
        AND n_symbols / greatest(word_chars, 1) <= 0.04
        AND (n_words < 40 OR stops / greatest(n_words, 1) >= 0.02)
-       AND n_dup_lines / greatest(n_lines, 1) <= 0.5
-       AND word_chars / greatest(n_lines, 1) <= 100000.0 AS kept
+       AND n_dup_lines / greatest(n_lines, 1) <= 0.5 AS kept
 FROM b
 """
 

@@ -43,3 +43,26 @@ def _rows():
 
 ROWS = _rows()
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def similar_groups(texts):
+    """The smallest id of each group by brute force over pairs of five-word shingle sets, and the number of links of 0.8 or more."""
+    sets = {}
+    for i, t in texts:
+        w = (t or "").lower().split()
+        sets[i] = {tuple(w[k : k + 5]) for k in range(max(len(w) - 4, 1))} if w else set()
+    of = {i: i for i in sets}
+
+    def top(i):
+        while of[i] != i:
+            i = of[i]
+        return i
+
+    links = 0
+    for i in sets:
+        for j in sets:
+            if i < j and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                links += 1
+                a, b = sorted((top(i), top(j)))
+                of[b] = a
+    return {top(i) for i in sets}, links
