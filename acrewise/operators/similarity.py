@@ -135,14 +135,15 @@ def similar_listings(df: DataFrame, anchor_id, k: int = 5, key: str = "listing_i
 # nearby --------------------------------------------------------------------------------------------------
 
 
-def _micro(col: str, df: DataFrame) -> Column:
+def micro_of(col: str, df: DataFrame) -> Column:
+    """The micro area of a row as text; a missing one has a name of its own."""
     value = street_of("address") if col == "street" and "street" not in df.columns else F.col(col)
     return F.coalesce(value.cast("string"), F.lit("(unknown)"))
 
 
 def micro_areas(df: DataFrame, location: str, micro: str, n: int = 100) -> DataFrame:
     """Most frequent streets, zip codes or clusters inside a location."""
-    inside = df.where(F.col("location") == location).select(_micro(micro, df).alias(micro))
+    inside = df.where(F.col("location") == location).select(micro_of(micro, df).alias(micro))
     return top_categories(inside, micro, n)
 
 
@@ -160,7 +161,7 @@ def recommend_nearby(
 
     Fewer than two hits in the micro area widen the search to the location, then to every listing in reach.
     """
-    inside = df.where((F.col("location") == location) & (_micro(micro, df) == value))
+    inside = df.where((F.col("location") == location) & (micro_of(micro, df) == value))
     center = medians(inside, GEO_BLOCK)
     if center["latitude"] is None or center["longitude"] is None:
         raise ValueError(f"no coordinates in {location} / {value}")
@@ -168,10 +169,10 @@ def recommend_nearby(
     ranged = df.withColumns({"distance_mi": distance, "street": street_of("address")})
     near = F.coalesce(F.col("distance_mi") <= miles, F.lit(False))
     same = F.coalesce(F.col("location") == location, F.lit(False))
-    tiers = [near & same & (_micro(micro, df) == value), near & same, near]
+    tiers = [near & same & (micro_of(micro, df) == value), near & same, near]
     counts = ranged.agg(*[F.count_if(t).alias(f"t{i}") for i, t in enumerate(tiers)]).first()
     tier = next((t for t, n in zip(tiers[:2], counts, strict=False) if n >= 2), tiers[2])
-    anchor = ranged.where(tier).agg(F.min_by(key, F.struct("distance_mi", key))).first()[0]
+    anchor = ranged.where(tier).agg(F.min_by(key, F.struct(F.round("distance_mi", 6), key))).first()[0]
     if anchor is None:
         raise ValueError("no listing within the radius")
     # encodings are fitted on the whole table, only rows in reach are ranked
