@@ -9,21 +9,29 @@ from acrewise.operators import joins as jn
 from acrewise.operators import models as md
 from acrewise.operators import sampling as sm
 from acrewise.operators import selection as sl
+from acrewise.operators.boosting import HistBoosting
 from acrewise.operators.text_features import tfidf
-from acrewise.functions.text import bedroom_label, furnishing_count
-from acrewise.plans.listings import preprocess
+from acrewise.functions.text import bedroom_label, furnishing_count, furnishing_terms
+from acrewise.plans.listings import engineer_features, preprocess
 from acrewise.queries.registry import flats, listings, over, query, r, rounded, table
 from acrewise.queries.statistics import _STOP as STOP_WORDS
-from acrewise.scale import shared_folder
+from acrewise.scale import exists, shared_folder
 from acrewise.sources.sinks import load_model, save_model
 
-MODEL_FEATURES = ["bedrooms", "bathrooms", "sqft", "lot_size", "year_built", "location", "property_type", "latitude", "longitude"]
+#: trees, depth and rounds of the registered model queries; the operators' own defaults are larger and take minutes a fit here
+TREES, DEPTH, ROUNDS = 10, 6, 4
+
+
+_stored: dict[tuple[str, str], str] = {}
 
 
 def model_rows(spark, sf):
-    """Priced listings whose price follows size, so that the models have something to find."""
-    rows = listings(spark, sf).where("price IS NOT NULL AND sqft IS NOT NULL")
-    return rows.withColumn("price", F.col("sqft") * (90 + F.coalesce("bedrooms", F.lit(2.0)) * 12) + F.col("price") / 50)
+    """The whole feature table of the clean listings, stored once for all model queries of an application."""
+    known = (spark.sparkContext.applicationId, sf)
+    if known not in _stored or not exists(spark, _stored[known]):
+        _stored[known] = shared_folder(spark, "features")
+        engineer_features(preprocess(listings(spark, sf)), 2026, n_init=2).write.parquet(_stored[known])
+    return spark.read.parquet(_stored[known])
 
 
 # encoding ------------------------------------------------------------------------------------------------
@@ -95,23 +103,23 @@ def e06(spark, sf):
     return rounded(tfidf(table(spark, sf, "documents"), "doc_id", "text", stop_words=STOP_WORDS), {"weight": 6})
 
 
-_FURNITURE = ["Fan", "AC", "Sofa", "Light", "Bed", "Geyser", "Wardrobe"]
-
-
 def _furnished(spark, sf):
-    counts = {f"n_{t.lower()}": furnishing_count("furnishDetails", t) for t in _FURNITURE}
-    return flats(spark, sf).select("property_id", *[c.alias(n) for n, c in counts.items()])
+    """Counts of every furnishing the details mention; the vocabulary is learned from them and holds a few dozen names."""
+    rows = flats(spark, sf)
+    terms = sorted(r["term"] for r in furnishing_terms(rows, "furnishDetails").collect())
+    names = [f"n{i}" for i in range(len(terms))]
+    counts = [furnishing_count("furnishDetails", t).alias(n) for n, t in zip(names, terms, strict=True)]
+    return rows.select("property_id", *counts), names
 
 
 @query("e07_elbow")
 def e07(spark, sf):
-    return en.elbow(_furnished(spark, sf), [f"n_{t.lower()}" for t in _FURNITURE], range(1, 11))
+    return en.elbow(*_furnished(spark, sf), range(1, 11))
 
 
 @query("e08_furnishing_type")
 def e08(spark, sf):
-    names = [f"n_{t.lower()}" for t in _FURNITURE]
-    rows = en.cluster(_furnished(spark, sf), names, 3, "furnishing_type", n_init=10, scale=True, order_by="total")
+    rows = en.cluster(*_furnished(spark, sf), 3, "furnishing_type", n_init=10, scale=True, order_by="total")
     return rows.select("property_id", "furnishing_type")
 
 
@@ -182,12 +190,12 @@ def g03(spark, sf):
 @query("g04_forest_importance")
 def g04(spark, sf):
     rows = model_rows(spark, sf).withColumn("label", F.log1p("price"))
-    return sl.forest_importance(rows, "label", MODEL_FEATURES, trees=10, depth=6)
+    return sl.forest_importance(rows, "label", sl.CANDIDATES, trees=TREES, depth=DEPTH)
 
 
 @query("g05_select_features")
 def g05(spark, sf):
-    report = sl.select_features(model_rows(spark, sf), candidates=MODEL_FEATURES, mi_top_k=4, trees=5, depth=5)
+    report = sl.select_features(model_rows(spark, sf), trees=TREES, depth=DEPTH)
     rows = [(i, f, report["mutual_information"].get(f), report["random_forest_importance"].get(f)) for i, f in enumerate(report["selected_features"])]
     return spark.createDataFrame(rows, "position int, feature string, mi double, importance double")
 
@@ -217,25 +225,24 @@ def t01(spark, sf):
 @query("t02_cross_validate")
 def t02(spark, sf):
     rows = sm.hash_folds(md.labelled(model_rows(spark, sf)), "listing_id", 5)
-    ready = md.prepared_folds(en.build_preprocessor(*md.split_types(rows, MODEL_FEATURES)), rows, 5)
+    ready = md.prepared_folds(en.build_preprocessor(*md.split_types(rows, md.COMPARE_FEATURES)), rows, 5)
     mean, sd, rmse = md.cross_validate(md.linear(), ready)
     return spark.createDataFrame([(mean, sd, rmse)], "r2_mean double, r2_std double, rmse_log double")
 
 
 @query("t03_grid_search")
 def t03(spark, sf):
+    """All families; tree counts and rounds are scored along one fit for each other point of the grid."""
     models = {
         "linear_regression": (md.linear(), {}),
-        "random_forest": (md.forest(5, 4), {"numTrees": [3, 6], "maxDepth": [3, 5]}),
-        "gradient_boosting": (md.boosting(4, 3, 0.2), {"maxIter": [4, 8]}),
+        "random_forest": (md.forest(TREES, DEPTH), {"numTrees": [TREES // 2, TREES], "maxDepth": [DEPTH // 2, DEPTH], "minInstancesPerNode": [1, 2]}),
+        "gradient_boosting": (md.boosting(ROUNDS, 5, 0.2, 0.8, 0.8), {"maxIter": [ROUNDS // 2, ROUNDS]}),
     }
-    _, _, metrics = md.train_models(model_rows(spark, sf), models=models, features=MODEL_FEATURES)
-    return metrics
+    return md.train_models(model_rows(spark, sf), models=models)[2]
 
 
-def _linear_family(spark, sf):
-    rows = md.labelled(model_rows(spark, sf))
-    sd, n = rows.agg(F.stddev_pop("label"), F.count("label")).first()
+def _linear_family(rows):
+    sd, n = md.labelled(rows).agg(F.stddev_pop("label"), F.count("label")).first()
     return {
         "linear_regression": md.linear(),
         "ridge": md.linear(2.0, label_sd=sd, rows=n, kind="ridge"),
@@ -246,19 +253,25 @@ def _linear_family(spark, sf):
 
 @query("t04_linear_family")
 def t04(spark, sf):
-    return md.compare_models(model_rows(spark, sf), features=MODEL_FEATURES, models=_linear_family(spark, sf))[0]
+    rows = model_rows(spark, sf)
+    return md.compare_models(rows, models=_linear_family(rows))[0]
 
 
 @query("t05_random_forest")
 def t05(spark, sf):
-    models = {"random_forest": md.forest(10, 6)}
-    return md.compare_models(model_rows(spark, sf), features=MODEL_FEATURES, models=models)[0]
+    return md.compare_models(model_rows(spark, sf), models={"random_forest": md.forest(TREES, DEPTH)})[0]
+
+
+def _boosted():
+    return {
+        "hist_gradient_boosting": HistBoosting(ROUNDS, 5, 0.3),
+        "gradient_boosting": md.boosting(ROUNDS, 5, 0.3, 0.85, 0.85),
+    }
 
 
 @query("t06_boosting")
 def t06(spark, sf):
-    models = {"gradient_boosting": md.boosting(8, 4, 0.2)}
-    return md.compare_models(model_rows(spark, sf), features=MODEL_FEATURES, models=models)[0]
+    return md.compare_models(model_rows(spark, sf), models=_boosted())[0]
 
 
 _PRED = "SELECT listing_id, property_type, bedrooms, price AS y_true, price * (0.85 + CAST(listing_id % 31 AS DOUBLE) / 100) AS y_pred FROM listings WHERE price IS NOT NULL"
@@ -281,8 +294,10 @@ def t07(spark, sf):
 
 @query("t08_compare_models")
 def t08(spark, sf):
-    models = {**_linear_family(spark, sf), "random_forest": md.forest(10, 6), "gradient_boosting": md.boosting(8, 4, 0.2)}
-    return md.compare_models(model_rows(spark, sf), features=MODEL_FEATURES, models=models)[0]
+    """All seven regressors on all features of the comparison."""
+    rows = model_rows(spark, sf)
+    models = {**_linear_family(rows), "random_forest": md.forest(TREES, DEPTH), **_boosted()}
+    return md.compare_models(rows, models=models)[0]
 
 
 _ERR = f", p AS ({_PRED}), e AS (SELECT *, abs(y_true - y_pred) AS abs_err, abs(y_true - y_pred) / greatest(y_true, 1.0) AS ape FROM p)"

@@ -49,13 +49,22 @@ def settle(df: DataFrame) -> DataFrame:
     return stage(df, "settled")
 
 
+def _file_system(spark: SparkSession, folder: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def exists(spark: SparkSession, folder: str) -> bool:
+    files, path = _file_system(spark, folder)
+    return files.exists(path)
+
+
 def release(spark: SparkSession) -> None:
     """Delete what this application has stored next to its checkpoints; results that still read it become unusable."""
     folder = spark.sparkContext.getCheckpointDir()
     if folder is not None:
-        jvm = spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        files, path = _file_system(spark, folder)
+        files.delete(path, True)
 
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
