@@ -167,16 +167,16 @@ def c03(spark, sf):
 # features of rows that were not learned from: every raw listing with its price hidden, by the state of the clean listings
 _NEW = (
     FEATURES[: FEATURES.rindex(" SELECT f.listing_id")]
-    + f""", st AS (SELECT median(price) AS mp, median(latitude) AS mlat, median(longitude) AS mlon, (SELECT quantile_cont(luxury_score, 0.8) FROM f) AS luxury_floor, count(*) AS total FROM q),
- n AS (SELECT l.listing_id, l.location, l.property_type, l.year_built, l.sqft, coalesce(l.latitude, mlat) AS latitude, coalesce(l.longitude, mlon) AS longitude, m0 AS price_per_sqft,
+    + f""", learned AS (SELECT median(price) AS mp, median(latitude) AS mlat, median(longitude) AS mlon, (SELECT quantile_cont(luxury_score, 0.8) FROM f) AS luxury_floor, count(*) AS total FROM q),
+ fresh AS (SELECT l.listing_id, l.location, l.property_type, l.year_built, l.sqft, coalesce(l.latitude, mlat) AS latitude, coalesce(l.longitude, mlon) AS longitude, m0 AS price_per_sqft,
   coalesce(bedrooms / NULLIF(bathrooms, 0), m1) AS bed_bath_ratio, coalesce(sqft / NULLIF(bedrooms, 0), m2) AS sqft_per_bedroom, coalesce(bathrooms / NULLIF(bedrooms, 0), m3) AS bath_per_bedroom,
-  {', '.join(f'{e} AS {n}' for n, e in FLAG_SQL.items())}, {' + '.join(FLAG_SQL.values())} AS amenity_count, ms, mp, luxury_floor, total FROM listings l, qm, st),
- g AS (SELECT *, round_even((sqft / ms + 1.0::DOUBLE + amenity_count / 7.0::DOUBLE) / 3 * 10, 2) AS luxury_score FROM n)
- SELECT f.listing_id, round(price_per_sqft, 6) AS price_per_sqft, greatest(2026 - year_built, 0) AS property_age, round(bed_bath_ratio, 6) AS bed_bath_ratio, round(sqft_per_bedroom, 6) AS sqft_per_bedroom,
+  {', '.join(f'{e} AS {n}' for n, e in FLAG_SQL.items())}, {' + '.join(FLAG_SQL.values())} AS amenity_count, ms, mp, luxury_floor, total FROM listings l, qm, learned),
+ scored AS (SELECT *, round_even((sqft / ms + 1.0::DOUBLE + amenity_count / 7.0::DOUBLE) / 3 * 10, 2) AS luxury_score FROM fresh)
+ SELECT f.listing_id, round(price_per_sqft, 6) AS price_per_sqft, CASE WHEN year_built IS NOT NULL THEN greatest(2026 - year_built, 0) END AS property_age, round(bed_bath_ratio, 6) AS bed_bath_ratio, round(sqft_per_bedroom, 6) AS sqft_per_bedroom,
   round(bath_per_bedroom, 6) AS bath_per_bedroom, round(coalesce(c.enc, mp), 4) AS location_target_enc, round({_DIST}, 6) AS dist_to_houston_mi, round({_LOCAL}, 6) AS dist_to_location_center_mi,
   {', '.join(AMENITY_PATTERNS)}, amenity_count, luxury_score, round(luxury_score * ln(1 + sqft), 4) AS luxury_x_sqft,
   CASE WHEN luxury_score >= luxury_floor THEN 1 ELSE 0 END AS is_luxury_segment, round(1 - coalesce(pt.n / total, 0), 6) AS property_type_rarity
- FROM g f LEFT JOIN c ON f.location = c.location LEFT JOIN pt ON f.property_type = pt.property_type"""
+ FROM scored f LEFT JOIN c ON f.location = c.location LEFT JOIN pt ON f.property_type = pt.property_type"""
 )
 
 
