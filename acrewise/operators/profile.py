@@ -6,17 +6,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from acrewise.operators import sketches
 from acrewise.operators.dedupe import duplicate_report
 from acrewise.operators.stats import skew
 from acrewise.scale import quantiles
 
 
-def profile_columns(df: DataFrame) -> DataFrame:
+def profile_columns(df: DataFrame, approx: bool = False) -> DataFrame:
     """One row per column: type, missing rate, distinct values, percentiles and skew or the top values.
 
+    ``approx=True`` takes percentiles, distinct counts and top values from the mergeable sketches of one aggregate, within
+    the bounds that ``sketches`` states; rates and skew stay exact.
+
     All columns share one aggregate for rates and moments and one (column, value) count for distinct and
     top values; map-side counting collapses frequent values before the shuffle.
     """
+    if approx:
+        return sketches.profile(sketches.column_sketches(df, by=()))
     fields = list(df.schema.fields)
     numeric = [f.name for f in fields if isinstance(f.dataType, (T.NumericType, T.BooleanType))]
     texts = [f.name for f in fields if f.name not in numeric]

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acrewise.functions.text import fix_zip, sector_number
+from acrewise.operators import sketches
 from acrewise.operators.filters import top_categories
 from acrewise.scale import lookup_join, quantile_values, quantiles, running_sum, stage
 
@@ -93,22 +94,23 @@ def mean_of_numerics(df: DataFrame, key: str) -> DataFrame:
     return df.dropna(subset=[key]).groupBy(key).agg(*[F.avg(c).alias(c) for c in numeric])
 
 
-def pivot_values(df: DataFrame, col: str) -> list:
-    """Distinct values that become pivot columns: the columns of the result are names that the driver must know."""
-    return sorted(r[0] for r in df.where(F.col(col).isNotNull()).select(col).distinct().collect())
-
-
 def crosstab(df: DataFrame, a: str, b: str, values: list | None = None) -> DataFrame:
-    """Counts per (a, b) as a wide table, 0 where a pair does not occur; rows with a missing key are dropped."""
+    """Counts per (a, b); rows with a missing key are dropped.
+
+    Long rows (a, b, count) of the pairs that occur, whose number may grow with the data. With ``values`` of ``b`` given, a
+    wide table of these columns, 0 where a pair does not occur.
+    """
     rows = df.dropna(subset=[a, b])
-    values = pivot_values(rows, b) if values is None else values
+    if values is None:
+        return rows.groupBy(a, b).agg(F.count(F.lit(1)).alias("count"))
     return rows.groupBy(a).pivot(b, values).agg(F.count(F.lit(1))).fillna(0)
 
 
 def pivot_mean(df: DataFrame, a: str, b: str, v: str, values: list | None = None) -> DataFrame:
-    """Mean of ``v`` per (a, b) as a wide table, NULL where a pair does not occur."""
+    """Mean of ``v`` per (a, b): long rows (a, b, mean), or a wide table of the ``values`` of ``b``, NULL where a pair does not occur."""
     rows = df.dropna(subset=[a, b])
-    values = pivot_values(rows, b) if values is None else values
+    if values is None:
+        return rows.groupBy(a, b).agg(F.avg(v).alias("mean"))
     return rows.groupBy(a).pivot(b, values).agg(F.avg(v))
 
 
@@ -130,15 +132,23 @@ def kurt(c: Column | str) -> Column:
     return F.when(n >= 4, F.when(constant, F.lit(0.0)).otherwise(adjusted))
 
 
-def describe(df: DataFrame, cols: list[str], percentiles: tuple[float, ...] = (0.25, 0.5, 0.75)) -> DataFrame:
-    """Count, mean, sample deviation, range, percentiles, skew and kurtosis; one row per column."""
-    found = quantile_values(df, cols, list(percentiles))
+def describe(
+    df: DataFrame, cols: list[str], percentiles: tuple[float, ...] = (0.25, 0.5, 0.75), approx: bool = False
+) -> DataFrame:
+    """Count, mean, sample deviation, range, percentiles, skew and kurtosis; one row per column.
+
+    ``approx=True`` takes the percentiles from a sketch (rank error ``sketches.RANK_ERROR``), so that one pass is enough.
+    """
+    probs = list(percentiles)
+    found = {} if approx else quantile_values(df, cols, probs)
     rows = []
     for c in cols:
-        marks = [
-            F.lit(v).cast("double").alias("p" + f"{p * 100:g}".replace(".", "_"))
-            for p, v in zip(percentiles, found[c], strict=True)
-        ]
+        if approx:
+            sketch = F.kll_sketch_agg_double(F.col(c).cast("double"), F.lit(sketches.QUANTILE_K))
+            values = [F.get(sketches.quantile(sketch, probs), F.lit(i)) for i in range(len(probs))]
+        else:
+            values = [F.lit(v).cast("double") for v in found[c]]
+        marks = [v.alias("p" + f"{p * 100:g}".replace(".", "_")) for p, v in zip(probs, values, strict=True)]
         value = F.col(c).cast("double")
         rows.append(
             F.struct(

@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 from acrewise.operators import dedupe as dd
 from acrewise.operators import outliers as ol
 from acrewise.operators import profile as pf
+from acrewise.operators import sketches as sk
 from acrewise.operators import stats as st
 from acrewise.operators.filters import in_band, require
 from acrewise.queries.registry import listings, over, query, r, rounded, table, units
 from acrewise.queries.tables import dedupe_sql, iqr_chain_sql
-from acrewise.scale import quantiles
+from acrewise.scale import quantiles, shared_folder
 
 
 def _round_doubles(df, digits: int = 6):
@@ -427,6 +428,26 @@ def q01(spark, sf):
     return rounded(found, {"missing_rate": 9, "unique_rate": 9, "p01": 4, "p50": 4, "p99": 4, "skew": 4})
 
 
+def _merged_sql(c: str) -> str:
+    skew = "CAST(NULL AS DOUBLE)" if c in _TEXTS else f"round(skewness({c}), 4)"
+    tops = f"(SELECT string_agg(k || ':' || CAST(n AS STRING), '; ' ORDER BY n DESC, k) FROM (SELECT coalesce({c}, 'nan') AS k, count(*) AS n FROM listings GROUP BY 1 ORDER BY n DESC, k LIMIT 3))"
+    shown = tops if c in ("location", "description", "state") else "CAST(NULL AS STRING)"
+    return f"""SELECT '{c}' AS "column", round(avg(CASE WHEN {c} IS NULL THEN 1.0::DOUBLE ELSE 0 END), 9) AS missing_rate, {skew} AS skew, {shown} AS top_values FROM listings"""
+
+
+@query("q01_profile_merged", over("listings", " UNION ALL ".join(_merged_sql(c) for c in _PROFILED)))
+def q01_merged(spark, sf):
+    # two rounds of files into one store; percentiles and distinct counts have bounds, which the tests check
+    store = f"{shared_folder(spark, 'sketches')}/store"
+    rows = listings(spark, sf).select("source_file", *_PROFILED)
+    sk.append_sketches(rows.where(F.col("source_file") < "export_2"), store)
+    sk.append_sketches(rows, store)
+    # url counters are estimates: the column has more values than counters
+    shown = F.when(F.col("column").isin("location", "description", "state"), F.col("top_values"))
+    found = sk.stored_profile(spark, store).select("column", "missing_rate", "skew", shown.alias("top_values"))
+    return rounded(found, {"missing_rate": 9, "skew": 4})
+
+
 def _members_sql(keys: str, where: str = "true") -> str:
     return f"(SELECT CAST(coalesce(sum(CASE WHEN n > 1 THEN n ELSE 0 END), 0) AS BIGINT) FROM (SELECT count(*) AS n FROM listings WHERE {where} GROUP BY {keys}))"
 
