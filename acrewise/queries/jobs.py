@@ -30,6 +30,7 @@ from acrewise.queries.tables import dedupe_sql, iqr_chain_sql, mode_pass_sql
 from acrewise.scale import shared_folder, stage
 from acrewise.sources.folder import ingest_folder, is_skipped, sniff_exports
 from acrewise.sources.sinks import write_report, write_table
+from acrewise.streaming.ingest import current_listings, ingest_stream
 
 # files ---------------------------------------------------------------------------------------------------
 
@@ -58,6 +59,15 @@ def s02(spark, sf):
     return ingest_folder(spark, _export_folder(spark, sf)).select("price", "sqft", "location", "listing_url", "data_tier")
 
 
+@query("s02_ingest_stream", over("listings", _RAW + " SELECT price, sqft, location, listing_url, 'real_raw' AS data_tier FROM a"))
+def s02_stream(spark, sf):
+    # every file is a micro-batch of its own or shares one with others, as the stream finds them
+    folder = _export_folder(spark, sf)
+    table = shared_folder(spark, "ingested")
+    ingest_stream(spark, folder, f"{table}/rows", f"{table}/stream", max_files=2).awaitTermination()
+    return current_listings(spark, f"{table}/rows").select("price", "sqft", "location", "listing_url", "data_tier")
+
+
 _NAMES = "SELECT DISTINCT unnest([source_file, replace(source_file, '.csv', ' (1).csv'), 'metro_' || source_file]) AS item FROM listings"
 
 

@@ -6,7 +6,7 @@ import csv
 import logging
 import re
 from collections.abc import Iterator
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +22,7 @@ log = logging.getLogger(__name__)
 OUTPUT_NAMES = {"texas_houston_raw.csv", "texas_houston_scraped.csv", "usa_real_estate.csv"}
 _PEEK_BYTES = 1 << 16
 _ORDER = ("__file", "__block", "__row")
+_PATH = "__path"
 
 
 def read_csv(spark: SparkSession, paths: str | list[str], schema: T.StructType | str, sep: str = ",", multi_line: bool = True) -> DataFrame:
@@ -61,14 +62,17 @@ def _peek(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"path": batch["path"], "name": names, "skipped": names.map(is_skipped), "first_line": lines, "families": families})
 
 
-def sniff_exports(spark: SparkSession, path: str) -> DataFrame:
+def sniff_exports(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """path, name, skipped, first_line and families of each CSV file of the folder, found in the tasks; bodies are not read."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path).select("path")
     return files.mapInPandas(_peek, "path string, name string, skipped boolean, first_line string, families string")
 
 
-def list_exports(spark: SparkSession, path: str) -> list[tuple[str, str]]:
-    """(path, first line) of each usable CSV file of the folder, in name order: the paths that a read must name."""
+def list_exports(spark: SparkSession, path: str | list[str]) -> list[tuple[str, str]]:
+    """(path, first line) of each usable CSV file of the folder, in name order: the paths that a read must name.
+
+    The driver holds a path and a first line for each file, as the reader's own file listing does: about a kilobyte each.
+    """
     found = []
     for r in sniff_exports(spark, path).where("not skipped").orderBy("name", "path").collect():
         if r["first_line"]:
@@ -109,8 +113,33 @@ def _read_family(spark: SparkSession, paths: list[str], first_line: str, family:
         F.col("_metadata.file_name").alias("__file"),
         F.col("_metadata.file_block_start").alias("__block"),
         F.monotonically_increasing_id().alias("__row"),
+        F.col("_metadata.file_path").alias(_PATH),
     )
-    return _ADAPTERS[family](raw, keep=_ORDER)
+    return _ADAPTERS[family](raw, keep=(*_ORDER, _PATH))
+
+
+def _plain(path: str) -> str:
+    """A listed path in the spelling of a row's path: one slash behind the scheme where no host follows."""
+    return re.sub(r"^(\w+):/+(?=[^/])", r"\1:/", path)
+
+
+def _first_fitting(spark: SparkSession, files: list[str], line: str, options: list[str], multi_line: bool) -> list[DataFrame]:
+    """Rows of files that share a header of several possible layouts: per file, the first layout that yields a row.
+
+    One job for each layout, however many files there are.
+    """
+    parts, left = [], files
+    for family in options:
+        if not left:
+            break
+        part = _read_family(spark, left, line, family, multi_line)
+        if not set(_ORDER) <= set(part.columns):
+            continue
+        fitting = {_plain(unquote(r[0])) for r in part.select(_PATH).distinct().collect()}
+        if fitting:
+            parts.append(_read_family(spark, [f for f in left if _plain(f) in fitting], line, family, multi_line))
+            left = [f for f in left if _plain(f) not in fitting]
+    return parts
 
 
 def _unique(header: list[str]) -> list[str]:
@@ -122,7 +151,7 @@ def _unique(header: list[str]) -> list[str]:
     return out
 
 
-def ingest_folder(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def ingest_folder(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:
     """Every listing export of the folder in canonical columns, stamped ``real_raw``.
 
     Files with the same header share one scan. ``ingest_seq`` orders rows by file name and position. Quoted cells may
@@ -137,15 +166,9 @@ def ingest_folder(spark: SparkSession, path: str, multi_line: bool = True) -> Da
         if len(options) == 1:
             parts.append(_read_family(spark, files, line, options[0], multi_line))
             continue
-        # several layouts are possible: per file, the first one that yields a row
-        for file in files:
-            for family in options:
-                part = _read_family(spark, [file], line, family, multi_line)
-                if set(_ORDER) <= set(part.columns) and not part.isEmpty():
-                    parts.append(part)
-                    break
+        parts.extend(_first_fitting(spark, files, line, options, multi_line))
     parts = [p for p in parts if set(_ORDER) <= set(p.columns)]
     if not parts:
         return spark.createDataFrame([], "price double")
     merged = concat_tables(*parts).withColumn("data_tier", F.lit("real_raw"))
-    return merged.withColumn("ingest_seq", F.struct(*_ORDER)).drop(*_ORDER)
+    return merged.withColumn("ingest_seq", F.struct(*_ORDER)).drop(*_ORDER, _PATH)
