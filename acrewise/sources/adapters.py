@@ -207,6 +207,10 @@ def python_literal_to_json(texts: pd.Series) -> pd.Series:
     return texts.map(rewrite, na_action="ignore")
 
 
+# or the filter on prices, pushed below it, would have every cell parsed twice, and before its rows are dealt out
+python_literal_to_json = python_literal_to_json.asNondeterministic()
+
+
 def from_blob(df: DataFrame, col: str = "property", literal: str = "python", keep: tuple[str, ...] = ()) -> DataFrame:
     """Nested-record export: one dict per cell, as a Python literal or as JSON; prices under 1 000 are dropped."""
     if col not in df.columns:

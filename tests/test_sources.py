@@ -114,3 +114,16 @@ def test_writers_and_model_store(spark, listings, tmp_path):
     a = fitted.transform(listings).select("listing_id", F.col("features").cast("string"))
     b = loaded.transform(listings).select("listing_id", F.col("features").cast("string"))
     assert a.exceptAll(b).count() == 0
+
+
+def test_collect_parses_exports_once_before_it_augments(spark, exports, monkeypatch):
+    seen = []
+    monkeypatch.setattr(lp, "bootstrap_augment", lambda df, *a: seen.append(df.inputFiles()) or ag.bootstrap_augment(df, *a))
+    assert lp.collect(spark, exports, target_rows=12).count() == 12
+    assert seen[0] and all(f.endswith(".parquet") for f in seen[0])
+
+
+def test_rows_of_one_export_are_parsed_in_several_tasks_and_once(spark, exports):
+    plan = fd.ingest_folder(spark, f"{exports}/a_blob.csv")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    assert plan.index("ArrowEvalPython") < plan.index("Exchange hashpartitioning(__file") < plan.index("csv")
