@@ -113,3 +113,25 @@ def radius_join(
     joined = lookup_join(cells, boxes, ["__cy", "__cx"], how="inner").drop("__cy", "__cx")
     distance = haversine_miles(lat, lon, F.col(clat), F.col(clon))
     return joined.withColumn("distance_mi", distance).where(F.col("distance_mi") <= miles)
+
+
+def radius_counts(
+    df: DataFrame,
+    centers: DataFrame,
+    miles: float,
+    center_cols: tuple[str, str, str] = ("center_id", "center_lat", "center_lon"),
+    lat: str = "latitude",
+    lon: str = "longitude",
+) -> DataFrame:
+    """Per center the number ``n`` of listings within ``miles`` and the distance ``nearest`` of the closest; none: no row.
+
+    Listings at one place, and centers at one place, meet once with their counts, so the pairs grow with the places and not
+    with the product of the rows.
+    """
+    cid, clat, clon = center_cols
+    places = df.groupBy(lat, lon).agg(F.count(F.lit(1)).alias("__n"))
+    spots = centers.groupBy(clat, clon).agg(F.min(cid).alias("__spot"))
+    pairs = radius_join(places, spots, miles, ("__spot", clat, clon), lat, lon)
+    found = pairs.groupBy(clat, clon).agg(F.sum("__n").alias("n"), F.min("distance_mi").alias("nearest"))
+    rows = lookup_join(centers.select(cid, clat, clon), found, [clat, clon], how="inner")
+    return rows.groupBy(cid).agg(F.sum("n").alias("n"), F.min("nearest").alias("nearest"))

@@ -580,8 +580,7 @@ _CENTERS = """SELECT s_suppkey AS center_id, 29.5 + CAST((s_suppkey * 137) % 100
 )
 def j07_many(spark, sf):
     table(spark, sf, "supplier").createOrReplaceTempView("supplier")
-    pairs = jn.radius_join(listings(spark, sf), spark.sql(_CENTERS), 3.0)
-    return pairs.groupBy("center_id").agg(F.count(F.lit(1)).alias("n"), r(F.min("distance_mi")).alias("nearest"))
+    return jn.radius_counts(listings(spark, sf), spark.sql(_CENTERS), 3.0).withColumn("nearest", r("nearest"))
 
 
 # dedupe, ordering, sets ----------------------------------------------------------------------------------

@@ -169,3 +169,13 @@ def test_rank_correlation_with_a_hot_value(spark):
 def test_histogram_keeps_the_maximum_in_the_last_bin(spark):
     df = spark.createDataFrame([(0.0,), (5.0,), (10.0,)], "v double")
     assert {r["bin"]: r["n"] for r in st.histogram(df, "v", 2).collect()} == {0: 1, 1: 2}
+
+
+def test_radius_counts_meet_places_once_and_count_every_row(spark):
+    spots = [(29.7, -95.4), (29.72, -95.41), (30.4, -95.0), (None, -95.4)]
+    rows = spark.createDataFrame([spots[i % 4] for i in range(400)], "latitude double, longitude double")
+    centers = spark.createDataFrame([(1, 29.7, -95.4), (2, 29.7, -95.4), (2, 30.4, -95.0), (3, 0.0, 0.0), (None, 29.71, -95.4)], "center_id int, center_lat double, center_lon double")
+    pairs = jn.radius_join(rows, centers, 3.0).groupBy("center_id").agg(F.count(F.lit(1)).alias("n"), F.min("distance_mi").alias("nearest"))
+    found = sorted(jn.radius_counts(rows, centers, 3.0).collect(), key=repr)
+    assert found == sorted(pairs.collect(), key=repr)
+    assert {r["center_id"]: r["n"] for r in found} == {1: 200, 2: 300, None: 200}
