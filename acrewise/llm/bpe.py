@@ -19,6 +19,7 @@ import base64
 import heapq
 import uuid
 from collections import Counter
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -31,7 +32,9 @@ from acrewise.scale import stage
 
 HEAD, HEAD_BYTES, LONG_BYTES = 1 << 19, 64, 512
 BUCKETS = 4096
-_CACHE, _FLUSH = 200_000, 200_000
+_CACHE, _FLUSH = 100_000, 100_000
+# Fixed value: rows that a task turns into Python objects at once.
+_ROWS = 512
 _MARKS = "!\"#$%&()*,-./:;?"
 _NONE = (1 << 31) - 1
 
@@ -165,9 +168,15 @@ class _Splitter:
         return got
 
 
+def _few(batches) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for at in range(0, b.num_rows, _ROWS):
+            yield b.slice(at, _ROWS)
+
+
 def _word_counts(texts: DataFrame, pattern: str) -> DataFrame:
     def run(batches):
-        split = _Splitter(pattern, worker_store("bpe-words"))
+        split = _Splitter(pattern, {})  # not kept: other stages of the worker need the memory
         parts: Counter = Counter()
 
         def out():
@@ -177,7 +186,7 @@ def _word_counts(texts: DataFrame, pattern: str) -> DataFrame:
                     words[w] += n
             return pa.RecordBatch.from_arrays([pa.array(list(words), pa.string()), pa.array(list(words.values()), pa.int64())], ["word", "n"])
 
-        for b in batches:
+        for b in _few(batches):
             for text in b.column(0).to_pylist():
                 found = split.parts(text)
                 if len(found) == 1:  # may be long: its words are counted, not kept as a part
@@ -192,8 +201,14 @@ def _word_counts(texts: DataFrame, pattern: str) -> DataFrame:
     return texts.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and ``ids`` (array of int) of every row of ``docs``."""
+def encode(
+    docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", then: tuple[Callable, str] | None = None
+) -> DataFrame:
+    """doc_id and ``ids`` (array of int) of every row of ``docs``.
+
+    ``then``: a function over the record batches of this result, and its schema. It runs in the same Python workers, where a
+    ``mapInArrow`` behind this one would start another worker for each task.
+    """
     rows = slim(docs, id_col, text_col)
     counts = stage(_word_counts(rows.select("text"), pattern), "bpe-counts")
     head = counts.where(most_frequent(counts, "n", HEAD) & (F.octet_length("word") <= HEAD_BYTES))
@@ -216,7 +231,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
                 whole[part] = got
             return got
 
-        for b in batches:
+        for b in _few(batches):
             ids, rare = [], []
             for text in b.column(1).to_pylist():
                 out, others = [], {}
@@ -237,7 +252,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary()), pa.array(rare, pa.list_(pa.string()))], ["doc_id", "held", "rare"])
 
     def join(batches):
-        for b in batches:
+        for b in _few(batches):
             out = [_filled(held, words) for held, words in zip(b.column(1).to_pylist(), b.column(2), strict=True)]
             ends = np.cumsum([0, *map(len, out)]) // 4
             lists = pa.LargeListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(out), "<i4")))
@@ -245,7 +260,8 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
 
     cut = rows.mapInArrow(run, "doc_id long, held binary, rare array<string>")
     cut = cut.select("doc_id", "held", F.when(F.size("rare") > 0, merged(F.col("rare"), path)).alias("folded"))
-    return cut.mapInArrow(join, "doc_id long, ids array<int>")
+    finish, schema = then or (iter, "doc_id long, ids array<int>")
+    return cut.mapInArrow(lambda batches: finish(join(batches)), schema)
 
 
 def _known_words(shared) -> dict[str, bytes]:
@@ -254,8 +270,8 @@ def _known_words(shared) -> dict[str, bytes]:
     if store.get("mark") != mark:
         ids = table.column("ids").combine_chunks()
         flat, ends = ids.values.to_numpy().astype("<i4").tobytes(), (4 * ids.offsets.to_numpy()).tolist()
-        words = table.column("word").to_pylist()
-        store.update(mark=mark, words={w: flat[x:y] for w, x, y in zip(words, ends, ends[1:], strict=False)})
+        store.clear()  # the words of an earlier call go before these are built
+        store.update(mark=mark, words={w.as_py(): flat[x:y] for w, x, y in zip(table.column("word"), ends, ends[1:], strict=False)})
     return store["words"]
 
 
@@ -276,21 +292,21 @@ def decode(coded: DataFrame, path: str) -> DataFrame:
 
     def run(batches):
         pieces = {rank: piece for piece, rank in ranks(path).items()}
-        for b in batches:
+        for b in _few(batches):
             out = [b"".join(map(pieces.__getitem__, x.values.to_numpy().tolist())) for x in b.column(1)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.binary())], ["doc_id", "ids", "decoded"])
 
     return coded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
 
 
-def digests(coded: DataFrame, path: str) -> DataFrame:
-    """doc_id, n_tokens, and SHA-256 of the ids in decimal digits and of the decoded bytes."""
+def digests(path: str) -> tuple[Callable, str]:
+    """For ``then`` of :func:`encode`: doc_id, n_tokens, and SHA-256 of the ids in decimal digits and of the decoded bytes."""
     import hashlib
 
     def run(batches):
         table = ranks(path)
         pieces, digits = {r: p for p, r in table.items()}, {r: str(r) for r in table.values()}
-        for b in batches:
+        for b in _few(batches):
             n, shown, back = [], [], []
             for x in b.column(1):
                 ids = x.values.to_numpy().tolist()
@@ -299,4 +315,4 @@ def digests(coded: DataFrame, path: str) -> DataFrame:
                 back.append(hashlib.sha256(b"".join(map(pieces.__getitem__, ids))).hexdigest())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(shown), pa.array(back)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return coded.select("doc_id", "ids").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"

@@ -127,6 +127,19 @@ def test_bpe_equals_the_library_and_comes_back(clashing, rows, empty):
     assert bpe.encode(empty, RANKS, public_tokenizers.PATTERN).count() == 0
 
 
+def test_bpe_digests_run_in_the_workers_that_join_the_ids(clashing, rows):
+    enc, texts = reference(), dict(rows)
+    out = bpe.encode(clashing, RANKS, public_tokenizers.PATTERN, then=bpe.digests(RANKS))
+    # the words are looked up in one worker of a task and the folded ones put in by a second; no third one
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 2
+    got = out.collect()
+    assert len(got) == len(rows)
+    for r in got:
+        ids = enc.encode_ordinary(texts[r["doc_id"]] or "")
+        shown, back = " ".join(map(str, ids)).encode(), (texts[r["doc_id"]] or "").encode()
+        assert (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) == (len(ids), hashlib.sha256(shown).hexdigest(), hashlib.sha256(back).hexdigest())
+
+
 def test_fold_and_heap_merge_alike(spark):
     r = random.Random(4)
     words = ["".join(r.choice("abcdehilnorst 日é") for _ in range(r.randint(1, 40))) for _ in range(60)]
