@@ -133,3 +133,14 @@ def test_furnishing_levels(spark, sf):
     rows = up.furnishing_type(view(spark, sf, "flats"), ["Fan", "AC", "Sofa"], n_init=1)
     levels = rows.groupBy("furnishing_type").count().collect()
     assert {r["furnishing_type"] for r in levels} == {0, 1, 2}
+
+
+def test_k_means_passes_over_different_points_only(spark):
+    # 20,000 rows at six places: the fit sees six weighted points, and its cost counts every row
+    rows = spark.range(20_000).select((F.col("id") % 3).cast("double").alias("a"), F.when(F.col("id") % 2 == 0, 0.0).otherwise(9.0).alias("b"))
+    points = en.weighted_points(rows, ["a", "b"])
+    assert points.count() == 6 and points.agg(F.sum("__weight")).first()[0] == 20_000
+    assert en.cluster_centers(rows, ["a", "b"], 2, n_init=2) == [pytest.approx([1.0, 0.0], abs=1e-3), pytest.approx([1.0, 9.0], abs=1e-3)]
+    cost = {r["k"]: r["wcss"] for r in en.elbow(rows, ["a", "b"], range(1, 4), scale=False).collect()}
+    spread = rows.agg(F.var_pop("a"), F.var_pop("b")).first()
+    assert cost[1] == pytest.approx(20_000 * (spread[0] + spread[1])) and cost[2] == pytest.approx(20_000 * spread[0], rel=1e-4)
