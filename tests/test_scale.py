@@ -42,6 +42,26 @@ def test_quantiles_with_one_value_holding_most_rows(spark):
     assert sc.quantile_values(df, ["v"], probs) == {"v": pytest.approx(want)}
 
 
+def test_many_quantiles_store_a_cell_for_each_value_once(spark, monkeypatch):
+    # fifteen wanted ranks: a value is counted in one zone, not once for each bracket above it
+    df = spark.range(30_000).select(F.sqrt(F.col("id") * 7 % 30_000).alias("v"), F.when(F.col("id") % 5 > 0, F.col("id") % 11).alias("few"))
+    probs = [i / 16 for i in range(1, 16)]
+    stored, stage = [], sc.stage
+    monkeypatch.setattr(sc, "stage", lambda rows, name="stage": stored.append(stage(rows, name)) or stored[-1])
+    points = F.array(*[F.lit(p) for p in probs])
+    want = df.agg(*[F.percentile(c, points).alias(c) for c in df.columns]).first()
+    got = sc.quantile_values(df, df.columns, probs)
+    assert all(got[c] == pytest.approx(want[c]) for c in df.columns)
+    cells = [rows for rows in stored if {"i", "c"} <= set(rows.columns)]
+    assert cells[0].groupBy("i").agg(F.sum("c").alias("n")).orderBy("i").collect() == [(0, 30_000), (1, 24_000)]
+
+
+def test_quantiles_with_values_that_are_no_numbers(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,), (None,)], "v double")
+    low, middle, high = sc.quantile_values(df, ["v"], [0.0, 0.5, 1.0])["v"]
+    assert (low, middle) == (1.0, 3.0) and high != high
+
+
 def test_running_sum_in_order_and_by_group(spark):
     df = spark.range(500).select((F.col("id") % 3).alias("g"), F.col("id"), (F.col("id") % 7).alias("w"))
     got = {(r["g"], r["id"]): r["cum"] for r in sc.running_sum(df, "w", ["id"], "cum", ["g"]).collect()}
