@@ -144,3 +144,15 @@ def test_k_means_passes_over_different_points_only(spark):
     cost = {r["k"]: r["wcss"] for r in en.elbow(rows, ["a", "b"], range(1, 4), scale=False).collect()}
     spread = rows.agg(F.var_pop("a"), F.var_pop("b")).first()
     assert cost[1] == pytest.approx(20_000 * (spread[0] + spread[1])) and cost[2] == pytest.approx(20_000 * spread[0], rel=1e-4)
+
+
+def test_folds_learn_fills_for_columns_with_gaps_only(spark, monkeypatch):
+    rows = spark.range(60).select("id", (F.col("id") % 3).cast("int").alias("fold"), F.when(F.col("id") % 4 > 0, F.col("id") * 1.5).alias("a"), (F.col("id") % 7).cast("double").alias("b"), F.lit("x").alias("t"), F.col("id").cast("double").alias("label"))
+    prepare, asked, medians = en.build_preprocessor(["a", "b"], ["t"]), [], en.medians
+    monkeypatch.setattr(en, "medians", lambda df, cols: asked.append(cols) or medians(df, cols))
+    own, others = [sorted(str(r) for r in part.select("features", "label").collect()) for part in md.prepared_folds(prepare, rows, 1)[0][::-1]]
+    assert asked == [["a"]]
+    plain = prepare.fit(rows.where("fold <> 0")).transform(rows)
+    assert asked[1:] == [["a", "b"]]
+    assert own == sorted(str(r) for r in plain.where("fold = 0").select("features", "label").collect())
+    assert others == sorted(str(r) for r in plain.where("fold <> 0").select("features", "label").collect())
