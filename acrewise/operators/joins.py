@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -72,8 +74,9 @@ def radius_join(
     center_cols: tuple[str, str, str] = ("center_id", "center_lat", "center_lon"),
     lat: str = "latitude",
     lon: str = "longitude",
+    on: Sequence[str] = (),
 ) -> DataFrame:
-    """Listings within ``miles`` of each center.
+    """Listings within ``miles`` of each center; ``on`` are columns of both in which they must agree.
 
     Both sides meet on grid cells: a center is listed under every cell its bounding box touches, a listing
     under its own cell only, so each pair is tested once. Longitude cells wrap at the date line.
@@ -97,6 +100,7 @@ def radius_join(
         cid,
         clat,
         clon,
+        *on,
         F.explode(
             F.sequence(cell(F.col(clat) - degrees - pad), cell(F.col(clat) + degrees + pad))
         ).alias("__cy"),
@@ -110,7 +114,7 @@ def radius_join(
     cells = df.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).withColumns(
         {"__cy": cell(F.col(lat)), "__cx": F.pmod(cell(F.col(lon)), F.lit(lon_cells))}
     )
-    joined = lookup_join(cells, boxes, ["__cy", "__cx"], how="inner").drop("__cy", "__cx")
+    joined = lookup_join(cells, boxes, [*on, "__cy", "__cx"], how="inner").drop("__cy", "__cx")
     distance = haversine_miles(lat, lon, F.col(clat), F.col(clon))
     return joined.withColumn("distance_mi", distance).where(F.col("distance_mi") <= miles)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from acrewise.functions.text import street_of
 from acrewise.operators.joins import radius_join
 from acrewise.operators.similarity import GEO_BLOCK, PREVIEW_COLUMNS, WEIGHTS, block_norm, micro_of, similarity_blocks
 from acrewise.operators.text_features import has_text, packed_terms
-from acrewise.scale import lookup_join, quantiles, stage
+from acrewise.scale import lookup_join, quantiles, settle, stage
 
 _MISS = 2  # fewer hits than this widen a request
 
@@ -49,6 +50,20 @@ def _blend(sizes: dict[str, int], weights: tuple[float, ...], texts: bool) -> Co
     return total / F.lit(weight)
 
 
+def _in_reach(rows: DataFrame, placed: DataFrame, key: str, on: Sequence[str]) -> DataFrame:
+    """Listings in the reach of each request that agree with its area in the columns ``on``: key, request_id, distance_mi."""
+    place = ["__location", "__micro", "__latitude", "__longitude"]
+    found = rows.join(placed, F.lit(False)).select(key, "request_id", F.lit(0.0).alias("distance_mi"))
+    # a class per doubling of the radius, a few dozen at most
+    for r in placed.select("__class").distinct().orderBy("__class").collect():
+        of_class = placed.where(F.col("__class") == r["__class"]).withColumnsRenamed({"__of": "__location", "__value": "__micro"})
+        centers = of_class.select("request_id", "__clat", "__clon", *on)
+        near = radius_join(rows.select(key, *place), centers, math.ldexp(1.0, r["__class"]), ("request_id", "__clat", "__clon"), "__latitude", "__longitude", on)
+        near = lookup_join(near.select(key, "request_id", "distance_mi"), of_class.select("request_id", "__miles"), ["request_id"], how="inner")
+        found = found.unionByName(near.where(F.col("distance_mi") <= F.col("__miles")).drop("__miles"))
+    return found
+
+
 def recommend_nearby_many(
     df: DataFrame,
     requests: DataFrame,
@@ -63,7 +78,8 @@ def recommend_nearby_many(
 
     * Centres are medians by area, of the areas asked for only.
     * Listings meet centres on a grid, once per class of radii (a doubling each), and keep those in the request's own reach.
-    * Hits per request and tier are counted in one aggregate; they choose the tier, and the nearest listing of it is the anchor.
+    * Tiers are searched from the narrowest: listings of a request's area, then its location, then all, each meeting only the
+      requests with too few hits so far. So a request meets no listings of a tier it does not need; the nearest hit is the anchor.
     * Rows carry their encoded blocks, so scoring against the anchor is a projection; ``k`` best by a limit that is pushed
       below the shuffle, so a request that reaches a third of all listings sends ``k`` rows per task.
 
@@ -92,23 +108,19 @@ def recommend_nearby_many(
     placed = lookup_join(asked, middle.where("__clat is not null and __clon is not null"), ["__of", "__value"], how="inner")
     placed = stage(placed.withColumn("__class", F.ceil(F.log2("__miles")).cast("int")), "placed")
 
-    # a class per doubling of the radius, a few dozen at most
-    found = None
-    for r in placed.select("__class").distinct().orderBy("__class").collect():
-        of_class = placed.where(F.col("__class") == r["__class"]).drop("__class")
-        near = radius_join(rows.select(key, "__location", "__micro", "__latitude", "__longitude"), of_class.select("request_id", "__clat", "__clon"), math.ldexp(1.0, r["__class"]), ("request_id", "__clat", "__clon"), "__latitude", "__longitude")
-        near = lookup_join(near.drop("__clat", "__clon"), of_class.drop("__clat", "__clon"), ["request_id"], how="inner").where(F.col("distance_mi") <= F.col("__miles"))
-        same = F.coalesce(F.col("__location") == F.col("__of"), F.lit(False))
-        tier = F.when(same & (F.col("__micro") == F.col("__value")), 0).when(same, 1).otherwise(2)
-        near = near.select(key, "request_id", "distance_mi", tier.alias("__tier"))
-        found = near if found is None else found.unionByName(near)
-    if found is None:
-        found = rows.join(placed, F.lit(False)).select(key, "request_id", F.lit(0.0).alias("distance_mi"), F.lit(0).alias("__tier"))
-    found = stage(found, "found")
-
-    counts = found.groupBy("request_id").agg(F.count_if(F.col("__tier") == 0).alias("n0"), F.count_if(F.col("__tier") <= 1).alias("n1"))
-    widest = counts.select("request_id", F.when(F.col("n0") >= _MISS, 0).when(F.col("n1") >= _MISS, 1).otherwise(2).alias("__widest"))
-    reach = stage(lookup_join(found, widest, ["request_id"], how="inner").where(F.col("__tier") <= F.col("__widest")).drop("__tier", "__widest"), "reach")
+    # a wider tier is searched for those requests only that the narrower ones leave without enough hits
+    taken, rest = [], placed
+    for on in (["__location", "__micro"], ["__location"], []):
+        found = stage(_in_reach(rows, rest, key, on), "found")
+        if not on:
+            taken.append(found)
+            break
+        enough = settle(found.groupBy("request_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= _MISS).select("request_id"))
+        taken.append(lookup_join(found, enough, ["request_id"], how="inner"))
+        rest = settle(rest.join(enough, "request_id", "left_anti"))
+        if rest.isEmpty():
+            break
+    reach = stage(reduce(DataFrame.unionByName, taken), "reach")
     anchors = reach.groupBy("request_id").agg(F.min_by(key, F.struct(F.round("distance_mi", 6), key)).alias("__anchor"))
     encoded = rows.select(F.col(key).alias("__anchor"), *[F.col(c).alias(f"a_{c}") for c in carried])
     anchors = anchors.join(encoded, "__anchor")
