@@ -149,6 +149,18 @@ def test_fold_and_heap_merge_alike(spark):
         assert ids == bpe.long_word(w.encode(), table) == enc._encode_single_piece(w)
 
 
+def test_bpe_keeps_no_words_of_the_whole_table(spark, monkeypatch):
+    """Nothing is counted over the table or broadcast; words kept in a task, and dropped, are invisible in the result."""
+    texts = ["the then\u0378 thenner " + "aaa" * 300, None, "", "thenner  zzyzx\n the", "\u0378 thenner \u65e5\u672c"] * 3
+    docs, enc = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2), reference()
+    for group in (bpe.GROUP, 0):
+        monkeypatch.setattr(bpe, "GROUP", group)
+        out = bpe.encode(docs, RANKS, public_tokenizers.PATTERN)
+        assert "Aggregate" not in out._jdf.queryExecution().optimizedPlan().toString()
+        assert {r["doc_id"]: r["ids"] for r in out.collect()} == {i: enc.encode_ordinary(t or "") for i, t in enumerate(texts)}
+    assert not hasattr(bpe, "_known_words")
+
+
 PAGES = [(1, "http://a/b c", "<p>x</p>"), (2, None, "<p>x</p>"), (3, "http://é/\r\nX: y", None), (4, "u", ""), (None, "v", "<p>x</p>"), (5, "w", "z" * 70_000), (6, "w", "ü日"), (6, "w2", "ü日")]
 
 
