@@ -156,3 +156,24 @@ def test_folds_learn_fills_for_columns_with_gaps_only(spark, monkeypatch):
     assert asked[1:] == [["a", "b"]]
     assert own == sorted(str(r) for r in plain.where("fold = 0").select("features", "label").collect())
     assert others == sorted(str(r) for r in plain.where("fold <> 0").select("features", "label").collect())
+
+
+def test_registered_grid_and_comparison_are_whole(spark, sf, monkeypatch):
+    # t03 searches the operator's grids; the shared rows of the model queries come from all ten starts of the clusters
+    from acrewise.queries import ml
+
+    asked, starts = {}, []
+    monkeypatch.setattr(ml, "model_rows", lambda spark, sf: "rows")
+    monkeypatch.setattr(md, "train_models", lambda df, **given: (None, "", asked.update(t03=(df, given))))
+    ml.t03(spark, sf)
+    assert asked == {"t03": ("rows", {})}
+    monkeypatch.undo()
+
+    def engineered(clean, year, clusters=True, n_init=10):
+        starts.append(n_init)
+        return spark.range(1)
+
+    monkeypatch.setattr(ml, "_stored", {})
+    monkeypatch.setattr(ml, "engineer_features", engineered)
+    ml.model_rows(spark, sf)
+    assert starts == [10]
