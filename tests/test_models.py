@@ -159,14 +159,15 @@ def test_folds_learn_fills_for_columns_with_gaps_only(spark, monkeypatch):
 
 
 def test_registered_grid_and_comparison_are_whole(spark, sf, monkeypatch):
-    # t03 searches the operator's grids; the shared rows of the model queries come from all ten starts of the clusters
+    # t03 searches the operator's grids, t08 fits its candidates; their shared rows come from all ten starts of the clusters
     from acrewise.queries import ml
 
     asked, starts = {}, []
     monkeypatch.setattr(ml, "model_rows", lambda spark, sf: "rows")
     monkeypatch.setattr(md, "train_models", lambda df, **given: (None, "", asked.update(t03=(df, given))))
-    ml.t03(spark, sf)
-    assert asked == {"t03": ("rows", {})}
+    monkeypatch.setattr(md, "compare_models", lambda df, **given: (asked.update(t08=(df, given)), {}))
+    ml.t03(spark, sf), ml.t08(spark, sf)
+    assert asked == {"t03": ("rows", {}), "t08": ("rows", {})}
     monkeypatch.undo()
 
     def engineered(clean, year, clusters=True, n_init=10):
