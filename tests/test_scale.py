@@ -106,3 +106,27 @@ def test_first_per_key_keeps_the_first_and_groups_nulls(spark):
 def test_checkpoint_folder_comes_from_the_session(spark):
     sc.ensure_checkpoint_dir(spark)
     assert spark.sparkContext.getCheckpointDir() in sc.shared_folder(spark, "x")
+
+
+def test_shuffle_files_do_not_outlive_a_stage(spark):
+    import time
+    from pathlib import Path
+
+    folders = [Path(str(d)) for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    held = lambda: {f.name for d in folders for f in d.rglob("shuffle_*.data")}
+    before = held()
+    stored = sc.stage(spark.range(200_000).repartition(3, "id"), "shuffled")
+    until = time.time() + 20
+    while held() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not held() - before and stored.count() == 200_000
+    assert spark.conf.get(sc._CLEAN_UP) == "false"
+
+
+def test_discard_deletes_staged_tables_only(spark, tmp_path):
+    spark.range(3).write.parquet(f"{tmp_path}/kept")
+    kept = spark.read.parquet(f"{tmp_path}/kept")
+    staged = sc.stage(kept, "short")
+    folder = staged.inputFiles()[0].rsplit("/", 1)[0]
+    sc.discard(staged.select("id").join(kept, "id"))
+    assert not sc.exists(spark, folder) and kept.count() == 3
