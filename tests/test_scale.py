@@ -130,3 +130,23 @@ def test_discard_deletes_staged_tables_only(spark, tmp_path):
     folder = staged.inputFiles()[0].rsplit("/", 1)[0]
     sc.discard(staged.select("id").join(kept, "id"))
     assert not sc.exists(spark, folder) and kept.count() == 3
+
+
+def test_dense_index_shuffles_whole_rows_once(spark, monkeypatch):
+    # places and offsets are stored numbers: no window runs over the rows
+    df = spark.range(500).select((F.col("id") * 37 % 500).alias("k"), F.when(F.col("id") % 7 > 0, F.col("id") % 3).alias("g"))
+    got = sc.dense_index(df, ["g", "k"], "ix")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan
+    rows = sorted(df.collect(), key=lambda r: (r["g"] is not None, r["g"] or 0, r["k"]))
+    assert [(r["g"], r["k"]) for r in sorted(got.collect(), key=lambda r: r["ix"])] == [(r["g"], r["k"]) for r in rows]
+    assert sorted(r["ix"] for r in got.collect()) == list(range(500))
+
+
+def test_distinct_rows_equal_distinct(spark):
+    rows = [(1, "a", None), (1, "a", None), (None, None, None), (None, None, None), (2, "b", 0.5), (3, "c", -0.0), (3, "c", 0.0)]
+    df = spark.createDataFrame(rows, "n int, `odd name` string, v double")
+    assert rows_of(sc.distinct_rows(df)) == rows_of(df.distinct())
+    alone = df.where("n = 2")
+    assert rows_of(sc.distinct_rows(alone)) == rows_of(alone)
+    assert sc.distinct_rows(df.limit(0)).collect() == []

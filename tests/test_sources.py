@@ -127,3 +127,14 @@ def test_rows_of_one_export_are_parsed_in_several_tasks_and_once(spark, exports)
     plan = fd.ingest_folder(spark, f"{exports}/a_blob.csv")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
     assert plan.index("ArrowEvalPython") < plan.index("Exchange hashpartitioning(__file") < plan.index("csv")
+
+
+def test_augmented_collect_leaves_no_exports_behind(spark, sf):
+    import os
+
+    from acrewise.queries import QUERIES
+
+    rows = QUERIES["c01_collect_augmented"](spark, sf)
+    folder = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    assert not any(f.startswith("part-") for d in os.listdir(folder) if d.startswith("exports-") for f in os.listdir(f"{folder}/{d}"))
+    assert rows.count() == 4 * 1500 and rows.distinct().count() == 4 * 1500
