@@ -133,8 +133,13 @@ def test_augmented_collect_leaves_no_exports_behind(spark, sf):
     import os
 
     from acrewise.queries import QUERIES
+    from acrewise.scale import ensure_checkpoint_dir
 
-    rows = QUERIES["c01_collect_augmented"](spark, sf)
+    ensure_checkpoint_dir(spark)
     folder = spark.sparkContext.getCheckpointDir().removeprefix("file:")
-    assert not any(f.startswith("part-") for d in os.listdir(folder) if d.startswith("exports-") for f in os.listdir(f"{folder}/{d}"))
+    exported = lambda: {f for d in os.listdir(folder) if d.startswith("exports-") for f in os.listdir(f"{folder}/{d}")}
+    os.makedirs(folder, exist_ok=True)
+    before = exported()
+    rows = QUERIES["c01_collect_augmented"](spark, sf)
+    assert not any(f.startswith("part-") for f in exported() - before)
     assert rows.count() == 4 * 1500 and rows.distinct().count() == 4 * 1500
